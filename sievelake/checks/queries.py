@@ -16,11 +16,12 @@ from sievelake.operators import metrics, publication, reconcile
 from sievelake.operators.schema import normalize
 from sievelake.plans.load import classified_batches, load_batches
 from sievelake.profiles import TRIPS
+from sievelake.session import tune
 from sievelake.sinks import catalog, files, publish
 from sievelake.sinks.outputs import read_curated, write_batch, write_batches
-from sievelake.sources.ledger import LEDGER_DDL, append_ledger, read_ledger
-from sievelake.sources.manifest import file_manifest
 from sievelake.sources.history import read_history
+from sievelake.sources.ledger import append_ledger, read_ledger
+from sievelake.sources.manifest import file_manifest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -369,7 +370,14 @@ def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_batches(spark, source, DATASET, PREFIX, scratch_lake(spark), scratch_table())
 
 
-QUERIES: dict[str, Query] = {
+def _tuned(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(tune(spark), sf_dir)
+
+    return run
+
+
+_QUERIES: dict[str, Query] = {
     "batch_summary": batch_summary,
     "normalize_columns": normalize_columns,
     "canonical_types": canonical_types,
@@ -403,3 +411,5 @@ QUERIES: dict[str, Query] = {
     "batch_pass_rates": batch_pass_rates,
     "invariants": invariants,
 }
+
+QUERIES = {name: _tuned(query) for name, query in _QUERIES.items()}

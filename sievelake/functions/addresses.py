@@ -1,6 +1,7 @@
 """Batch addresses as Column expressions over a (year, month) pair.
 
 They give the same text as `Batch`, for work on many batches in one DataFrame.
+Padding and concatenation are used since `format_string` costs a formatter per row.
 """
 
 from __future__ import annotations
@@ -10,20 +11,25 @@ from pyspark.sql import functions as F
 
 
 def month_string(month: Column) -> Column:
-    return F.format_string("%02d", month)
+    return F.lpad(month.cast("string"), 2, "0")
+
+
+def _dated(prefix: str, year: Column, between: str, month: Column, suffix: str = "") -> Column:
+    parts = [F.lit(prefix), year.cast("string"), F.lit(between), month_string(month), F.lit(suffix)]
+    return F.concat(*parts)
 
 
 def period(year: Column, month: Column) -> Column:
-    return F.format_string("%d-%02d", year, month)
+    return _dated("", year, "-", month)
 
 
 def batch_id(dataset: str, year: Column, month: Column) -> Column:
-    return F.concat(F.lit(f"{dataset}_"), F.format_string("%d_%02d", year, month))
+    return _dated(f"{dataset}_", year, "_", month)
 
 
 def source_file(source_prefix: str, year: Column, month: Column) -> Column:
-    return F.concat(F.lit(f"{source_prefix}_"), period(year, month), F.lit(".parquet"))
+    return _dated(f"{source_prefix}_", year, "-", month, ".parquet")
 
 
 def curated_prefix(dataset: str, year: Column, month: Column) -> Column:
-    return F.concat(F.lit(f"curated/{dataset}/"), F.format_string("year=%d/month=%02d", year, month))
+    return _dated(f"curated/{dataset}/year=", year, "/month=", month)

@@ -39,13 +39,13 @@ def expected_location(spark: SparkSession, lake: Lake, batch: Batch) -> str:
 def registered_location(spark: SparkSession, table: str, batch: Batch) -> str | None:
     """Where the catalog says the partition lies; None when it is not registered."""
     try:
-        details = spark.sql(f"DESCRIBE EXTENDED {table} {_spec(batch)}")
+        details = spark.sql(f"DESCRIBE EXTENDED {table} {_spec(batch)}").collect()
     except AnalysisException as error:
         if error.getCondition() == "PARTITIONS_NOT_FOUND":
             return None
         raise
     # The partition's own location is listed before the table's.
-    return details.where("col_name = 'Location'").first()["data_type"]
+    return next(row["data_type"] for row in details if row["col_name"] == "Location")
 
 
 def partition_exists(spark: SparkSession, table: str, batch: Batch) -> bool:

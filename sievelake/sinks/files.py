@@ -5,6 +5,9 @@ They concern names only: no file content passes through here.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
 SUCCESS = "_SUCCESS"
@@ -15,6 +18,12 @@ def _open(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def for_each(action: Callable[..., object], items: Iterable[tuple]) -> list:
+    """Apply a file-system call to many batches; each waits on the store, so some wait together."""
+    with ThreadPoolExecutor(16) as pool:
+        return [done.result() for done in [pool.submit(action, *item) for item in items]]
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """Full URI as Spark reports it in `_metadata.file_path` and in the catalog."""
     system, target = _open(spark, path)

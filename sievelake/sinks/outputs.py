@@ -89,28 +89,34 @@ def write_batches(
         with_rates(rows), lake.metrics_root(dataset), [batch.period for batch in batches], "json"
     )
 
-    for batch, row in batches.items():
-        if not row["valid_records"] + row["warning_records"]:
-            files.remove(spark, lake.curated(batch))  # nothing replaced an older output
-        files.mark_complete(spark, lake.curated(batch))
+    files.for_each(_finish_curated, [(spark, lake.curated(batch), row) for batch, row in batches.items()])
     return counts
 
 
+def _finish_curated(spark: SparkSession, target: str, counts: dict[str, Any]) -> None:
+    if not counts["valid_records"] + counts["warning_records"]:
+        files.remove(spark, target)  # no row came to replace an older output
+    files.mark_complete(spark, target)
+
+
 def _write_periods(df: DataFrame, root: str, periods: list[str], form: str) -> None:
     """One job for all periods, then one move per period to its plain `YYYY-MM` directory."""
-    spark: SparkSession = df.sparkSession
+    spark = df.sparkSession
     staged = f"{root}/_staged-{uuid.uuid4().hex}"
     df.write.partitionBy("period").format(form).save(staged)
-    for period in periods:
-        source, target = f"{staged}/period={period}", f"{root}/{period}"
-        if files.exists(spark, source):
-            files.replace_directory(spark, source, target)
-        else:
-            files.remove(spark, target)
-        files.mark_complete(spark, target)
+    moves = [(spark, f"{staged}/period={period}", f"{root}/{period}") for period in periods]
+    files.for_each(_finish_period, moves)
     files.remove(spark, staged)
 
 
+def _finish_period(spark: SparkSession, staged: str, target: str) -> None:
+    if files.exists(spark, staged):
+        files.replace_directory(spark, staged, target)
+    else:
+        files.remove(spark, target)
+    files.mark_complete(spark, target)
+
+
 def read_curated(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
     """All curated batches; `year` and `month` are partition columns."""
     return spark.read.parquet(lake.curated_root(dataset))

@@ -64,15 +64,20 @@ def publication_summary(spark: SparkSession, lake: Lake, batch: Batch) -> dict[s
 
 
 def published_batches(spark: SparkSession, lake: Lake, checksums: Iterable[tuple[Batch, str]]) -> DataFrame:
-    """Publication state of batches of one dataset, given with their source checksums."""
-    rows, datasets = [], set()
-    for batch, checksum in checksums:
-        datasets.add(batch.dataset)
-        outputs = (lake.curated(batch), lake.quarantine(batch), lake.metrics(batch))
-        marks = [files.is_complete(spark, output) for output in outputs]
-        rows.append((batch.batch_id, batch.dataset, batch.period, batch.source_file, checksum, *marks))
+    """Publication state of batches, given with their source checksums."""
+    asked = list(checksums)
+    outputs = [
+        (spark, output)
+        for batch, _ in asked
+        for output in (lake.curated(batch), lake.quarantine(batch), lake.metrics(batch))
+    ]
+    marks = files.for_each(files.is_complete, outputs)
+    rows = [
+        (batch.batch_id, batch.dataset, batch.period, batch.source_file, checksum, *marks[3 * i : 3 * i + 3])
+        for i, (batch, checksum) in enumerate(asked)
+    ]
     manifest = spark.createDataFrame([], MANIFEST_DDL)
-    for dataset in sorted(datasets):
+    for dataset in sorted({batch.dataset for batch, _ in asked}):
         manifest = manifest.unionByName(published_manifest(spark, lake, dataset))
     return publication_state(spark.createDataFrame(rows, STATE_DDL), manifest)
 
