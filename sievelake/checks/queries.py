@@ -22,6 +22,7 @@ from sievelake.sinks.outputs import read_curated, write_batch, write_batches
 from sievelake.sources.history import read_history
 from sievelake.sources.ledger import append_ledger, read_ledger
 from sievelake.sources.manifest import file_manifest
+from sievelake.sources.small import small_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -295,7 +296,7 @@ def partition_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         for batch in batches
     ]
     schema = "year INT, month INT, partition_status STRING, correct BOOLEAN"
-    return spark.createDataFrame(repaired, schema)
+    return small_frame(spark, repaired, schema)
 
 
 def publication_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,7 +308,7 @@ def publication_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = [
         (b.dataset, b.period, b.source_file, b.source_file, checksums[b.batch_id]) for b in batches
     ]
-    manifest = spark.createDataFrame(known, publish.MANIFEST_DDL)
+    manifest = small_frame(spark, known, publish.MANIFEST_DDL)
     manifest.write.json(f"{lake.manifest_root(DATASET)}/all")
     for batch in batches:
         if batch.month == 1:

@@ -14,6 +14,7 @@ from sievelake.operators.schema import normalize
 from sievelake.profiles import TRIPS, Profile
 from sievelake.sinks import catalog
 from sievelake.sinks.outputs import COUNTS_DDL, write_batches
+from sievelake.sources.small import small_frame
 
 
 def classified_batches(
@@ -51,7 +52,8 @@ def load_batches(
     catalog.create_table(spark, table, lake.curated_root(dataset), profile)
     created = catalog.register_partitions(spark, table, lake, batches)
 
-    summary = spark.createDataFrame(
+    summary = small_frame(
+        spark,
         [
             (
                 row["year"], row["month"], catalog.partition_status(created[batch]),

@@ -26,6 +26,7 @@ from sievelake.profiles import TRIPS, Profile
 from sievelake.sinks import catalog, publish
 from sievelake.sources.ledger import append_records, read_ledger
 from sievelake.sources.manifest import source_checksum, source_checksums
+from sievelake.sources.small import small_frame
 
 _appending = Lock()  # writers into one directory must not commit at the same time
 
@@ -113,9 +114,8 @@ def _append(spark: SparkSession, site: Site, record: dict[str, Any]) -> None:
 
 
 def _key(spark: SparkSession, record: dict[str, Any]):
-    return spark.createDataFrame(
-        [(record["batch_id"], record["source_checksum"])], "batch_id STRING, source_checksum STRING"
-    )
+    key = (record["batch_id"], record["source_checksum"])
+    return small_frame(spark, [key], "batch_id STRING, source_checksum STRING")
 
 
 def _is_processed(spark: SparkSession, site: Site, record: dict[str, Any]) -> bool:

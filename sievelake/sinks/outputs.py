@@ -8,8 +8,10 @@ thousand batches as for one.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from sievelake.functions import addresses
 from sievelake.operators.classify import curated, quarantined
 from sievelake.operators.metrics import count_columns, quality_metrics, with_rates
 from sievelake.sinks import files
+from sievelake.sources.small import fields, small_frame
 
 COUNTS_DDL = (
     "total_records BIGINT, valid_records BIGINT, warning_records BIGINT, quarantined_records BIGINT"
@@ -41,15 +44,11 @@ def write_batch(
     counts = seen.get
     held_back = quarantined(classified) if counts["quarantined_records"] else classified.limit(0)
     held_back.write.mode("overwrite").parquet(quarantine_output)
-    row = spark.createDataFrame([tuple(counts[name] for name in _count_names())], COUNTS_DDL)
+    row = small_frame(spark, [tuple(counts[name] for name, _ in fields(COUNTS_DDL))], COUNTS_DDL)
     with_rates(row).coalesce(1).write.mode("overwrite").json(metrics_output)
     return counts
 
 
-def _count_names() -> list[str]:
-    return [field.split()[0] for field in COUNTS_DDL.split(", ")]
-
-
 def write_batches(
     classified: DataFrame, lake: Lake, dataset: str, clustered: bool = False
 ) -> list[dict[str, Any]]:
@@ -65,30 +64,43 @@ def write_batches(
     counts = [row.asDict() for row in quality_metrics(classified, ["year", "month"]).collect()]
     batches = {Batch(dataset, "", row["year"], row["month"]): row for row in counts}
 
+    periods = [batch.period for batch in batches]
     month = addresses.month_string(F.col("month"))
     good = curated(classified)
     good = good if clustered else good.hint("rebalance", "year", "month")
-    (
-        good.withColumn("month", month)
-        .write.partitionBy("year", "month")
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(lake.curated_root(dataset))
-    )
 
     period = addresses.period(F.col("year"), F.col("month"))
     bad = quarantined(classified).withColumn("period", period).drop("year", "month")
     bad = bad if clustered else bad.hint("rebalance", "period")
-    _write_periods(bad, lake.quarantine_root(dataset), [batch.period for batch in batches], "parquet")
 
-    rows = spark.createDataFrame(
-        [(batch.period, *(row[name] for name in _count_names())) for batch, row in batches.items()],
-        f"period STRING, {COUNTS_DDL}",
-    )
-    _write_periods(
-        with_rates(rows), lake.metrics_root(dataset), [batch.period for batch in batches], "json"
+    rates = with_rates(
+        small_frame(
+            spark,
+            [(batch.period, *(row[name] for name, _ in fields(COUNTS_DDL))) for batch, row in batches.items()],
+            f"period STRING, {COUNTS_DDL}",
+        )
     )
 
+    def write_curated() -> None:
+        (
+            good.withColumn("month", month)
+            .write.partitionBy("year", "month")
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .parquet(lake.curated_root(dataset))
+        )
+
+    def write_quarantine() -> None:
+        _write_periods(bad, lake.quarantine_root(dataset), periods, "parquet")
+
+    def write_metrics() -> None:
+        _write_periods(rates, lake.metrics_root(dataset), periods, "json")
+
+    # Submitted together: the small jobs fill executors the large one leaves idle at its end.
+    with ThreadPoolExecutor(3) as pool:
+        writes = (write_curated, write_quarantine, write_metrics)
+        for done in [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]:
+            done.result()
     files.for_each(_finish_curated, [(spark, lake.curated(batch), row) for batch, row in batches.items()])
     return counts
 
@@ -103,10 +115,12 @@ def _write_periods(df: DataFrame, root: str, periods: list[str], form: str) -> N
     """One job for all periods, then one move per period to its plain `YYYY-MM` directory."""
     spark = df.sparkSession
     staged = f"{root}/_staged-{uuid.uuid4().hex}"
-    df.write.partitionBy("period").format(form).save(staged)
-    moves = [(spark, f"{staged}/period={period}", f"{root}/{period}") for period in periods]
-    files.for_each(_finish_period, moves)
-    files.remove(spark, staged)
+    try:
+        df.write.partitionBy("period").format(form).save(staged)
+        moves = [(spark, f"{staged}/period={period}", f"{root}/{period}") for period in periods]
+        files.for_each(_finish_period, moves)
+    finally:
+        files.remove(spark, staged)
 
 
 def _finish_period(spark: SparkSession, staged: str, target: str) -> None:

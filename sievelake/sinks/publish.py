@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sievelake.batch import Batch, Lake, under
 from sievelake.operators.publication import publication_state
 from sievelake.sinks import files
+from sievelake.sources.small import small_frame
 
 MANIFEST_DDL = "dataset STRING, period STRING, source_file STRING, source_path STRING, source_checksum STRING"
 STATE_DDL = (
@@ -23,7 +24,7 @@ STATE_DDL = (
 def publish_raw(spark: SparkSession, lake: Lake, batch: Batch, source_path: str, checksum: str) -> None:
     """Record the raw file as published. It stays where it is: sources already lie on the lake."""
     row = (batch.dataset, batch.period, batch.source_file, files.qualified(spark, source_path), checksum)
-    manifest = spark.createDataFrame([row], MANIFEST_DDL).coalesce(1)
+    manifest = small_frame(spark, [row], MANIFEST_DDL).coalesce(1)
     manifest.write.mode("overwrite").json(lake.manifest(batch))
 
 
@@ -34,7 +35,7 @@ def published_manifest(spark: SparkSession, lake: Lake, dataset: str) -> DataFra
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], MANIFEST_DDL)
+        return small_frame(spark, [], MANIFEST_DDL)
 
 
 def has_processed_outputs(spark: SparkSession, batch: Batch, work_root: str) -> bool:
@@ -76,10 +77,10 @@ def published_batches(spark: SparkSession, lake: Lake, checksums: Iterable[tuple
         (batch.batch_id, batch.dataset, batch.period, batch.source_file, checksum, *marks[3 * i : 3 * i + 3])
         for i, (batch, checksum) in enumerate(asked)
     ]
-    manifest = spark.createDataFrame([], MANIFEST_DDL)
+    manifest = small_frame(spark, [], MANIFEST_DDL)
     for dataset in sorted({batch.dataset for batch, _ in asked}):
         manifest = manifest.unionByName(published_manifest(spark, lake, dataset))
-    return publication_state(spark.createDataFrame(rows, STATE_DDL), manifest)
+    return publication_state(small_frame(spark, rows, STATE_DDL), manifest)
 
 
 def is_published(spark: SparkSession, lake: Lake, batch: Batch, checksum: str) -> bool:

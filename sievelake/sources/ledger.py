@@ -9,6 +9,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievelake.sources.small import fields, small_frame
+
+SEQ = "struct<completed_at: timestamp, file_age: timestamp, file: string, block: bigint, line: bigint>"
+
 # Field names of a ledger record, so ledgers written earlier stay readable.
 LEDGER_DDL = """
     run_id STRING, batch_id STRING, dataset STRING, period STRING, source_file STRING,
@@ -36,11 +40,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame(
-            [],
-            f"{LEDGER_DDL}, seq STRUCT<completed_at: TIMESTAMP, file_age: TIMESTAMP, "
-            "file: STRING, block: BIGINT, line: BIGINT>",
-        )
+        return small_frame(spark, [], LEDGER_DDL).withColumn("seq", F.lit(None).cast(SEQ))
     return records.select(
         "*",
         F.struct(
@@ -53,20 +53,16 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _field_names() -> list[str]:
-    return [field.split()[0] for field in LEDGER_DDL.replace("\n", " ").split(",")]
-
-
 def append_records(spark: SparkSession, path: str, records: Iterable[dict[str, Any]]) -> None:
     """Append run records as one small file. A field outside the ledger's is refused, not dropped."""
-    names = _field_names()
+    names = [name for name, _ in fields(LEDGER_DDL)]
     rows = []
     for record in records:
         unknown = sorted(set(record).difference(names))
         if unknown:
             raise ValueError(f"unknown ledger fields: {', '.join(unknown)}")
         rows.append(tuple(record.get(name) for name in names))
-    append_ledger(spark.createDataFrame(rows, LEDGER_DDL).coalesce(1), path)
+    append_ledger(small_frame(spark, rows, LEDGER_DDL).coalesce(1), path)
 
 
 def append_ledger(records: DataFrame, path: str) -> None:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievelake.sinks.files import exists, qualified
+from sievelake.sources.small import small_frame
 
 WHOLE_FILE_LIMIT = 256 * 1024 * 1024
 PIECE = 8 * 1024 * 1024
@@ -124,6 +125,6 @@ def source_checksums(spark: SparkSession, paths: Iterable[str]) -> dict[str, str
     found = {qualified(spark, path): path for path in paths if exists(spark, path)}
     if not found:
         return {}
-    batches = spark.createDataFrame([(uri,) for uri in found], "batch_path STRING")
+    batches = small_frame(spark, [(uri,) for uri in found], "batch_path STRING")
     files = with_batch_path(file_manifest(spark, list(found)), batches)
     return {found[row["batch_path"]]: row["source_checksum"] for row in batch_checksums(files).collect()}

@@ -98,13 +98,14 @@ def test_hot_batch_is_split_over_files(spark, lake):
         "rand(2) AS fare_amount", "rand(3) AS total_amount",
     )
     key, partition = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions"
+    before = spark.conf.get(partition)
     spark.conf.set(key, "256k")
     spark.conf.set(partition, "4")
     try:
         counts = write_batches(classified_batches(data, "d", "p"), lake, "d")
     finally:
         spark.conf.unset(key)
-        spark.conf.set(partition, "8")
+        spark.conf.set(partition, before)
     by_month = {row["month"]: row["total_records"] for row in counts}
     assert by_month[8] > 20_000 and sum(by_month.values()) == 60_000
     assert per_month(read_curated(spark, lake, "d"), "month") == by_month
