@@ -35,14 +35,17 @@ def write_batch(
     The counts are observed on the rows that flow into the curated write, so they
     cost no scan. That write has no shuffle: each row passes in the final stage,
     whose tasks count once however often executors are lost. Quarantine is a
-    second scan; caching the batch instead would put all of it on executor disks.
+    second scan; caching the batch instead would put all of it on executor disks,
+    where a lost executor takes its share along.
     A batch without quarantined rows skips that scan and writes the empty output.
     """
     spark = classified.sparkSession
     seen = Observation()
     curated(classified.observe(seen, *count_columns())).write.mode("overwrite").parquet(curated_output)
     counts = seen.get
-    held_back = quarantined(classified) if counts["quarantined_records"] else classified.limit(0)
+    # Few rows out of many tasks: merged, or each scan task would leave a tiny file.
+    some = counts["quarantined_records"]
+    held_back = quarantined(classified).hint("rebalance") if some else classified.limit(0)
     held_back.write.mode("overwrite").parquet(quarantine_output)
     row = small_frame(spark, [tuple(counts[name] for name, _ in fields(COUNTS_DDL))], COUNTS_DDL)
     with_rates(row).coalesce(1).write.mode("overwrite").json(metrics_output)
@@ -71,7 +74,7 @@ def write_batches(
 
     period = addresses.period(F.col("year"), F.col("month"))
     bad = quarantined(classified).withColumn("period", period).drop("year", "month")
-    bad = bad if clustered else bad.hint("rebalance", "period")
+    bad = bad.hint("rebalance", "period")
 
     rates = with_rates(
         small_frame(
