@@ -194,8 +194,11 @@ def _run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _current_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch = addresses.batch_id(DATASET, F.col("year"), F.col("month"))
-    found = trips(spark, sf_dir).select("year", "month").distinct()
+    """One row per batch. Ids come from aggregates: from grouping keys, Catalyst would move the
+    ledger join below the grouping and hash an id for every trip."""
+    batch = addresses.batch_id(DATASET, F.col("in_year"), F.col("in_month"))
+    found = trips(spark, sf_dir).groupBy("year", "month")
+    found = found.agg(F.max("year").alias("in_year"), F.max("month").alias("in_month"))
     return found.select(
         batch.alias("batch_id"), F.sha2(F.concat(batch, F.lit(":2")), 256).alias("source_checksum")
     )
