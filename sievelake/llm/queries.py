@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievelake.llm import line_windows, mixing, quality_rules, substring
+from sievelake.llm import line_windows, minhash, mixing, quality_rules, substring
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_documents(spark, sf_dir), shingle=3, percent=(85, 100))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(_documents(spark, sf_dir))
     return judged.withColumn("failed", F.array_join("failed", ","))
@@ -52,6 +56,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
