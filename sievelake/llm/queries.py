@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievelake.llm import line_windows, minhash, mixing, quality_rules, substring
+from sievelake.llm import line_windows, minhash, mixing, quality_rules, repair, substring
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its topic, tokens, weight, probability and whether the mix holds it."""
     mixed = mixing.mix(_documents(spark, sf_dir))
@@ -41,6 +47,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_units(_documents(spark, sf_dir)).drop("content")
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of every document, from grammar-compressed files written and read back."""
+    return repair.round_trip(_documents(spark, sf_dir), tokenizer_path(), by_word=True)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that lose lines: how many, and which, as merged spans of line numbers from 0."""
     found = line_windows.repeated_lines(_documents(spark, sf_dir))
@@ -59,5 +70,6 @@ QUERIES = {
     "op3_minhash_dedup": op3_minhash_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
+    "op8_token_files": op8_token_files,
     "op10_line_dedup": op10_line_dedup,
 }
