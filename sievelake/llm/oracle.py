@@ -152,10 +152,20 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b F
 SELECT s.doc_id, s.n::BIGINT AS n_shingles, min(r.b) AS component_id, s.doc_id = min(r.b) AS kept
 FROM sizes s JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.n"""
 
+_WARC = """WITH records AS (SELECT page_id, coalesce(html, '') AS p, sha1(coalesce(html, '')) AS sha FROM pages),
+first AS (SELECT p, min(page_id) AS id FROM records GROUP BY p)
+SELECT page_id, octet_length(encode(p)) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (((('0x' || substr(sha, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::BIGINT, 1)), '') AS payload_digest,
+  CASE WHEN id IS NULL OR id IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN id IS DISTINCT FROM page_id THEN id END AS refers_to
+FROM records JOIN first USING (p)"""
+
 ORACLES = {
     "op1_mixing": _mixing(),
     "op3_minhash_dedup": _MINHASH,
     "op5_quality_rules": _quality(),
     "op6_substring_dedup": _SUBSTRING,
+    "op7_warc_bundles": _WARC,
     "op10_line_dedup": _LINES,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievelake.llm import line_windows, minhash, mixing, quality_rules, repair, substring
+from sievelake.llm import line_windows, minhash, mixing, quality_rules, repair, substring, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +47,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_units(_documents(spark, sf_dir)).drop("content")
 
 
+def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, from bundles written and read back."""
+    return warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ids of every document, from grammar-compressed files written and read back."""
     return repair.round_trip(_documents(spark, sf_dir), tokenizer_path(), by_word=True)
@@ -70,6 +75,7 @@ QUERIES = {
     "op3_minhash_dedup": op3_minhash_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_warc_bundles": op7_warc_bundles,
     "op8_token_files": op8_token_files,
     "op10_line_dedup": op10_line_dedup,
 }
