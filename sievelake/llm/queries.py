@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievelake.llm import line_windows, minhash, mixing, quality_rules, repair, substring, warc
+from sievelake.llm import decontaminate, line_windows, minhash, mixing, quality_rules, repair, substring, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +37,11 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf_dir), shingle=3, percent=(85, 100))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark, with the item and the best passage."""
+    return decontaminate.contaminated(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(_documents(spark, sf_dir))
     return judged.withColumn("failed", F.array_join("failed", ","))
@@ -73,6 +78,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_warc_bundles": op7_warc_bundles,
