@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievelake.llm import decontaminate, line_windows, minhash, mixing, quality_rules, repair, substring, warc
+from sievelake.llm import classifier, decontaminate, line_windows, minhash, mixing, quality_rules, repair, substring, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +62,11 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.round_trip(_documents(spark, sf_dir), tokenizer_path(), by_word=True)
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return classifier.scored(docs, classifier.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that lose lines: how many, and which, as merged spans of line numbers from 0."""
     found = line_windows.repeated_lines(_documents(spark, sf_dir))
@@ -83,5 +88,6 @@ QUERIES = {
     "op6_substring_dedup": op6_substring_dedup,
     "op7_warc_bundles": op7_warc_bundles,
     "op8_token_files": op8_token_files,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_line_dedup": op10_line_dedup,
 }
