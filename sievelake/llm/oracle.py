@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from sievelake.llm.licenses import RULES
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _INK = r"'[^\x20\x09-\x0D]+'"
 _SPACE = r"'[\x20\x09-\x0D]+'"
@@ -161,8 +163,36 @@ SELECT page_id, octet_length(encode(p)) AS payload_bytes,
   CASE WHEN id IS DISTINCT FROM page_id THEN id END AS refers_to
 FROM records JOIN first USING (p)"""
 
+def _licenses() -> str:
+    """The rules are the operator's own list; how they are matched and resolved is written anew."""
+    rules = ", ".join(f"({r.no}, '{r.label}', {r.tier}, '{r.keyword}', '{r.pattern}')" for r in RULES)
+    phrases = ("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")
+    base = " UNION ALL ".join(
+        f"SELECT row, '{label}' AS label, i FROM words, range(len(w)) AS o(i) WHERE w[i + 1:i + {len(p.split())}] = string_split('{p}', ' ')"
+        for p, label in phrases
+    )
+    return rf"""WITH words AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id,
+  regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+base AS MATERIALIZED (SELECT row, count(*) AS n, min(i) AS a, max(i) AS b, list(DISTINCT label) AS labels FROM ({base}) GROUP BY row),
+rules(no, label, tier, keyword, pattern) AS (VALUES {rules}),
+tried AS MATERIALIZED (SELECT DISTINCT row, no, label, tier, regexp_extract_all(canon, pattern) AS m, string_split_regex(canon, pattern) AS p
+  FROM (SELECT row, w, ' ' || array_to_string(w, '  ') || ' ' AS canon FROM words) JOIN rules ON list_contains(w, keyword)),
+hits AS MATERIALIZED (SELECT row, no, label, tier, s, s + length(m[i]) AS e FROM (SELECT *,
+  list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS s
+  FROM tried, range(1, len(m) + 1) AS o(i))),
+kept AS (SELECT * FROM hits a WHERE NOT EXISTS (SELECT 1 FROM hits b WHERE a.row = b.row AND b.tier <= a.tier AND b.s <= a.s AND b.e >= a.e
+  AND (b.s < a.s OR b.e > a.e OR b.tier < a.tier OR b.no < a.no))),
+method AS (SELECT row, count(*) AS n, min(tier) AS best, list(DISTINCT label) AS labels FROM kept GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_base, base.a AS first_word, base.b AS last_word,
+  coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(base.labels, method.labels))), ','), '') AS labels,
+  coalesce(method.n, 0)::BIGINT AS n_detections, coalesce([1.0, 0.9, 0.6, 0.3][best + 1], 0)::DOUBLE AS score
+FROM words LEFT JOIN base USING (row) LEFT JOIN method USING (row)"""
+
+
 ORACLES = {
     "op1_mixing": _mixing(),
+    "op2_license_scan": _licenses(),
     "op3_minhash_dedup": _MINHASH,
     "op5_quality_rules": _quality(),
     "op6_substring_dedup": _SUBSTRING,

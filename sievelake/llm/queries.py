@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievelake.llm import classifier, decontaminate, line_windows, minhash, mixing, quality_rules, repair, substring, warc
+from sievelake.llm import classifier, decontaminate, licenses, line_windows, minhash, mixing, quality_rules, repair, substring, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_documents(spark, sf_dir))
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf_dir), shingle=3, percent=(85, 100))
 
@@ -82,6 +86,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_license_scan": op2_license_scan,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
