@@ -8,7 +8,7 @@ lines of every later one are covered, and lines covered by any window are remove
 Defined cases: a null or empty text has no lines; texts of fewer than three lines have no windows and
 stay whole; a null doc_id ranks after all others; rows of equal doc_id and text are one document, so
 they stand or fall together; columns other than the two named are carried and may have any name.
-All of it is DataFrame functions: one scan to find windows, one more to mark them, no Python.
+All of it is DataFrame functions, no Python; texts are read once.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievelake.llm.storage import keep
 from sievelake.llm.text import SPACE, WORD, ascii_lower, fresh
 
 WINDOW = 3
@@ -70,10 +71,10 @@ def repeated_lines(
 ) -> DataFrame:
     """Per document with repeats: doc, content (hash of the text), `covered`: sorted numbers of its lines to remove.
 
-    Windows are counted with partial sums on the map side. The join back sees the groups that occur
+    Windows are hashed once and written. They are counted with partial sums on the map side. The join back sees the groups that occur
     more than once only; Spark splits a hot group's side, as the other side has one row for it.
     """
-    windows = _windows(docs, doc_id, text, size)
+    windows = keep(_windows(docs, doc_id, text, size))
     first = (
         windows.groupBy("a", "b")
         .agg(F.min(_rank(windows)).alias("first"), F.count(F.lit(1)).alias("n"))
