@@ -5,6 +5,7 @@ They concern names only: no file content passes through here.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -52,13 +53,50 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def replace_directory(spark: SparkSession, source: str, target: str) -> None:
-    """Put a finished output in the place of an older one."""
-    remove(spark, target)
+    """Put a finished output in the place of an older one, which comes back if the move fails."""
     system, target_path = _open(spark, target)
     _, source_path = _open(spark, source)
+    _, aside = _open(spark, f"{target.rstrip('/')}.{uuid.uuid4().hex}")
+    older = system.exists(target_path)
     system.mkdirs(target_path.getParent())
-    if not system.rename(source_path, target_path):
+    if older and not system.rename(target_path, aside):
+        raise OSError(f"cannot move {target} aside")
+    try:
+        moved = system.rename(source_path, target_path)
+    except Exception:
+        if older:
+            system.rename(aside, target_path)
+        raise
+    if not moved:
+        if older:
+            system.rename(aside, target_path)
         raise OSError(f"cannot move {source} to {target}")
+    if older:
+        system.delete(aside, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Full URIs of what lies directly in a folder; none if it does not exist."""
+    system, target = _open(spark, path)
+    return [status.getPath().toString() for status in system.listStatus(target)] if system.exists(target) else []
+
+
+def all_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """URI, size and modification time (milliseconds) of every file at or below a path, empty ones included.
+
+    As in Spark's own listings, names that begin with a dot or an underscore are passed over.
+    """
+    system, target = _open(spark, path)
+    if not system.exists(target):
+        raise FileNotFoundError(f"no such input: {path}")
+    base, found = system.makeQualified(target).toString(), []
+    listing = system.listFiles(target, True)
+    while listing.hasNext():
+        status = listing.next()
+        name = status.getPath().toString()
+        if not any(part[:1] in (".", "_") for part in name[len(base) :].split("/")):
+            found.append((name, status.getLen(), status.getModificationTime()))
+    return found
 
 
 def object_count(spark: SparkSession, path: str) -> int:

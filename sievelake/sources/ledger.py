@@ -1,7 +1,13 @@
-"""The run ledger: append-only JSON lines, one record per run."""
+"""The run ledger: append-only JSON lines, one record per run.
+
+Every append has a folder of its own below the ledger, so that drivers that know nothing of each other
+can append at the same time: Spark's commit of one never touches the staging folder of another.
+Records that lie flat in the ledger's folder are read too.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from typing import Any
 
@@ -9,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievelake.sinks import files
 from sievelake.sources.small import fields, small_frame
 
 SEQ = "struct<completed_at: timestamp, file_age: timestamp, file: string, block: bigint, line: bigint>"
@@ -36,7 +43,8 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     file, block and line. A damaged line raises instead of vanishing.
     """
     try:
-        records = spark.read.schema(LEDGER_DDL).option("mode", "FAILFAST").json(path)
+        read = spark.read.schema(LEDGER_DDL).option("mode", "FAILFAST").option("recursiveFileLookup", True)
+        records = read.json(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -67,4 +75,17 @@ def append_records(spark: SparkSession, path: str, records: Iterable[dict[str, A
 
 def append_ledger(records: DataFrame, path: str) -> None:
     """Append ledger records computed by Spark. Null fields are left out of the JSON."""
-    records.write.mode("append").json(path)
+    records.write.json(f"{path.rstrip('/')}/run={uuid.uuid4()}")
+
+
+def compact_ledger(spark: SparkSession, path: str) -> None:
+    """Write all records anew as one append, in their order, and remove the folders and files they came from.
+
+    Until the removal is done some records are there twice, which no decision taken from a ledger minds;
+    records appended meanwhile stay.
+    """
+    before = files.children(spark, path)
+    names = [name for name, _ in fields(LEDGER_DDL)]
+    ordered = read_ledger(spark, path).repartitionByRange(1, "seq").sortWithinPartitions("seq").select(*names)
+    append_ledger(ordered, path)
+    files.for_each(files.remove, [(spark, child) for child in before])

@@ -105,7 +105,7 @@ def test_append_keeps_earlier_records(spark, tmp_path):
     for number in range(3):
         append_records(spark, path, [{"run_id": str(number), "batch_id": "b", "difference": None}])
     assert sorted(row["run_id"] for row in read_ledger(spark, path).collect()) == ["0", "1", "2"]
-    lines = [line for part in (tmp_path / "ledger").glob("part-*") for line in part.read_text().splitlines()]
+    lines = [line for part in (tmp_path / "ledger").glob("run=*/part-*") for line in part.read_text().splitlines()]
     assert {"run_id": "0", "batch_id": "b"} in [json.loads(line) for line in lines]
 
 
@@ -151,3 +151,26 @@ def test_hot_batch_is_combined_before_the_join(spark, tmp_path):
     assert best["valid_records"] == 8997
     plan = ledgers.latest_counts(log)._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan and "Window" not in plan
+
+
+def test_writers_that_do_not_know_each_other_lose_nothing(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from sievelake.sources.ledger import append_records, compact_ledger, read_ledger
+
+    path = str(tmp_path / "ledger")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: append_records(spark, path, [{"run_id": str(i), "status": "SUCCESS"}]), range(16)))
+    assert sorted(int(row["run_id"]) for row in read_ledger(spark, path).collect()) == list(range(16))
+    compact_ledger(spark, path)
+    assert len(list((tmp_path / "ledger").iterdir())) == 1
+    assert sorted(int(row["run_id"]) for row in read_ledger(spark, path).collect()) == list(range(16))
+
+
+def test_flat_files_of_a_ledger_are_read(spark, tmp_path):
+    from sievelake.sources.ledger import append_records, read_ledger
+
+    path = tmp_path / "ledger"
+    append_records(spark, str(path), [{"run_id": "new", "status": "SUCCESS"}])
+    (path / "old.json").write_text('{"run_id": "old", "status": "FAILED"}\n')
+    assert {row["run_id"] for row in read_ledger(spark, str(path)).collect()} == {"old", "new"}
