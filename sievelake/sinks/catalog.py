@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from sievelake.batch import Batch, Lake
@@ -36,16 +35,32 @@ def expected_location(spark: SparkSession, lake: Lake, batch: Batch) -> str:
     return qualified(spark, lake.curated(batch))
 
 
+def listed_partitions(spark: SparkSession, table: str) -> dict[tuple[int, int], list[tuple[tuple[str, str], str]]]:
+    """Every partition the catalog holds, by (year, month): its values as spelled there, and its location.
+
+    One listing for all. Values are compared as numbers: `MSCK REPAIR TABLE` spells months as the folders do, with
+    a leading zero, and then one month may be registered twice.
+    """
+    state = spark._jsparkSession.sessionState()
+    name = state.sqlParser().parseTableIdentifier(table)
+    held = state.catalog().listPartitions(name, spark._jvm.scala.Option.empty())
+    found: dict[tuple[int, int], list[tuple[tuple[str, str], str]]] = {}
+    for i in range(held.size()):
+        partition = held.apply(i)
+        values = (partition.spec().apply("year"), partition.spec().apply("month"))
+        place = qualified(spark, _path_of(spark, partition.location()))
+        found.setdefault((int(values[0]), int(values[1])), []).append((values, place))
+    return found
+
+
+def _path_of(spark: SparkSession, uri) -> str:
+    return spark._jvm.org.apache.hadoop.fs.Path(uri).toString()
+
+
 def registered_location(spark: SparkSession, table: str, batch: Batch) -> str | None:
     """Where the catalog says the partition lies; None when it is not registered."""
-    try:
-        details = spark.sql(f"DESCRIBE EXTENDED {table} {_spec(batch)}").collect()
-    except AnalysisException as error:
-        if error.getCondition() == "PARTITIONS_NOT_FOUND":
-            return None
-        raise
-    # The partition's own location is listed before the table's.
-    return next(row["data_type"] for row in details if row["col_name"] == "Location")
+    held = listed_partitions(spark, table).get((batch.year, batch.month))
+    return held[0][1] if held else None
 
 
 def partition_exists(spark: SparkSession, table: str, batch: Batch) -> bool:
@@ -53,8 +68,17 @@ def partition_exists(spark: SparkSession, table: str, batch: Batch) -> bool:
 
 
 def partition_is_correct(spark: SparkSession, table: str, lake: Lake, batch: Batch) -> bool:
-    found = registered_location(spark, table, batch)
-    return found is not None and found.rstrip("/") == expected_location(spark, lake, batch)
+    """Registered once, at its place."""
+    return batch in correct_partitions(spark, table, lake, [batch])
+
+
+def correct_partitions(spark: SparkSession, table: str, lake: Lake, batches: Iterable[Batch]) -> set[Batch]:
+    held = listed_partitions(spark, table)
+    return {
+        batch
+        for batch in batches
+        if [place for _, place in held.get((batch.year, batch.month), [])] == [expected_location(spark, lake, batch)]
+    }
 
 
 def register_partition(spark: SparkSession, table: str, lake: Lake, batch: Batch) -> bool:
@@ -65,22 +89,22 @@ def register_partition(spark: SparkSession, table: str, lake: Lake, batch: Batch
 def register_partitions(
     spark: SparkSession, table: str, lake: Lake, batches: Iterable[Batch]
 ) -> dict[Batch, bool]:
-    """Register or repair partitions; the missing ones are added by a single statement."""
+    """Register or repair partitions.
+
+    A month that is registered once, at its place, is right however it is spelled. All others lose what is
+    registered for them and are added by a single statement.
+    """
     batches = list(batches)
-    known = {row["partition"] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    missing, changed = [], {}
+    held = listed_partitions(spark, table)
+    changed, surplus = {}, []
     for batch in batches:
-        if f"year={batch.year}/month={batch.month}" not in known:
-            missing.append(batch)
-            changed[batch] = True
-        elif partition_is_correct(spark, table, lake, batch):
-            changed[batch] = False
-        else:
-            spark.sql(
-                f"ALTER TABLE {table} {_spec(batch)} "
-                f"SET LOCATION '{_quoted(expected_location(spark, lake, batch))}'"
-            )
-            changed[batch] = True
+        entries = held.get((batch.year, batch.month), [])
+        right = [place for _, place in entries] == [expected_location(spark, lake, batch)]
+        changed[batch] = not right
+        surplus += [] if right else [values for values, _ in entries]
+    if surplus:
+        _drop_as_spelled(spark, table, surplus)
+    missing = [batch for batch in batches if changed[batch]]
     if missing:
         specs = " ".join(
             f"{_spec(batch)} LOCATION '{_quoted(expected_location(spark, lake, batch))}'"
@@ -91,6 +115,18 @@ def register_partitions(
     return changed
 
 
+def _drop_as_spelled(spark: SparkSession, table: str, values: list[tuple[str, str]]) -> None:
+    """Drop partitions by the text of their values, which Spark would else read as numbers."""
+    setting = "spark.sql.legacy.skipTypeValidationOnAlterPartition"
+    usual = spark.conf.get(setting, "false")
+    spark.conf.set(setting, "true")
+    try:
+        specs = ", ".join(f"PARTITION (year='{year}', month='{month}')" for year, month in values)
+        spark.sql(f"ALTER TABLE {table} DROP {specs}")
+    finally:
+        spark.conf.set(setting, usual)
+
+
 def partition_status(created: bool | None) -> str:
     """DISABLED without a catalog, else CREATED or EXISTS."""
     if created is None:

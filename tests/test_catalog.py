@@ -106,3 +106,36 @@ def test_stray_dates_stay_in_their_batch(spark, tmp_path):
     run_batch(spark, source, JULY.source_file, JULY.batch_id, "1.0", *outputs)
     found = spark.read.parquet(lake.curated_root("yellow_taxi")).select("year", "month").distinct().collect()
     assert [tuple(row) for row in found] == [(2025, 7)]
+
+
+def counted(spark, table):
+    rows = partition_counts(spark.table(table)).collect()
+    return {(row["year"], row["month"]): row["published_records"] for row in rows}
+
+
+def test_partitions_found_by_repair_are_known_whatever_their_spelling(spark, site):
+    lake, table = site
+    spark.sql(f"MSCK REPAIR TABLE {table}")
+    assert [v for v, _ in catalog.listed_partitions(spark, table)[2025, 8]] == [("2025", "08")]
+    assert catalog.register_partitions(spark, table, lake, [AUGUST, JULY]) == {AUGUST: False, JULY: False}
+    assert counted(spark, table) == {(2025, 7): 1, (2025, 8): 2}
+    assert catalog.partition_is_correct(spark, table, lake, AUGUST)
+
+
+def test_a_doubled_partition_is_registered_once(spark, site):
+    lake, table = site
+    spark.sql(f"MSCK REPAIR TABLE {table}")
+    spark.sql(f"ALTER TABLE {table} ADD PARTITION (year=2025, month=8) LOCATION '{lake.curated(AUGUST)}'")
+    assert counted(spark, table)[2025, 8] == 4
+    assert not catalog.partition_is_correct(spark, table, lake, AUGUST)
+    assert catalog.register_partitions(spark, table, lake, [AUGUST, JULY]) == {AUGUST: True, JULY: False}
+    assert counted(spark, table) == {(2025, 7): 1, (2025, 8): 2}
+
+
+def test_a_partition_spelled_with_zero_and_misplaced_is_repaired(spark, site):
+    lake, table = site
+    spark.sql(f"MSCK REPAIR TABLE {table}")
+    moved = Lake(lake.root + "/elsewhere")
+    assert catalog.register_partition(spark, table, moved, AUGUST) is True
+    assert catalog.registered_location(spark, table, AUGUST) == catalog.expected_location(spark, moved, AUGUST)
+    assert counted(spark, table) == {(2025, 7): 1}
