@@ -1,73 +1,77 @@
 """File manifests: path, size and SHA-256 of every source file.
 
-Files are hashed inside tasks, many files side by side. Spark's `binaryFile`
-source puts a file into one row, so it serves files up to `whole_file_limit`;
-larger ones are read in pieces by the task, which needs the same small memory
-for a file of any size. The size filter is pushed into the listing, and contents
-are read only for the files a branch hashes.
+Names come from the file system's listing, so that files without a byte have their row too. Files are read
+inside tasks, many side by side, each in pieces, so that a file of any size takes the same small memory and the
+same way. A task opens local files itself and others through pyarrow's file systems; a scheme
+those do not know is refused by name before a job starts.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
+from urllib.parse import quote
 
-import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievelake.sinks.files import exists, qualified
+from sievelake.sinks.files import all_files, exists, for_each, qualified
 from sievelake.sources.small import small_frame
 
-WHOLE_FILE_LIMIT = 256 * 1024 * 1024
 PIECE = 8 * 1024 * 1024
+SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+MANIFEST_DDL = "path STRING, size_bytes BIGINT, modified_ms BIGINT"
 
 
-def _hash_in_pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
+def address(uri: str) -> str:
+    """The path as a task opens it: local ones plain, others as a URI whose odd characters are escaped."""
+    scheme, _, rest = uri.partition(":")
+    if scheme not in SCHEMES:
+        raise ValueError(f"files of scheme {scheme!r} cannot be hashed: {uri}")
+    if scheme == "file":
+        return "/" + rest.lstrip("/")
+    return f"{SCHEMES[scheme]}:{quote(rest, safe='/@:')}"
 
-    for frame in frames:
-        digests = []
-        for path in frame["path"]:
-            filesystem, name = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-            digest = hashlib.sha256()
-            with filesystem.open_input_stream(name) as stream:
-                while piece := stream.read(PIECE):
-                    digest.update(piece)
-            digests.append(digest.hexdigest())
-        yield frame.assign(sha256=digests)
 
+def _hasher(piece: int):
+    """For mapInPandas. A function made here travels to the tasks by value: workers need not have the package."""
 
-def file_manifest(
-    spark: SparkSession, paths: str | list[str], whole_file_limit: int = WHOLE_FILE_LIMIT
-) -> DataFrame:
-    """One row per file under `paths`: path, source_file, size_bytes, modified_at, sha256.
+    def rows(frames):
+        import hashlib as hashes
 
-    Files of no bytes have no row: Spark's file sources pass over them.
-    """
+        for frame in frames:
+            digests = []
+            for place in frame["address"]:
+                if place.startswith("/"):
+                    stream = open(place, "rb")
+                else:
+                    from pyarrow import fs
+
+                    system, name = fs.FileSystem.from_uri(place)
+                    stream = system.open_input_stream(name)
+                digest = hashes.sha256()
+                with stream:
+                    while data := stream.read(piece):
+                        digest.update(data)
+                digests.append(digest.hexdigest())
+            yield frame.assign(sha256=digests).drop(columns="address")
+
+    return rows
+
+
+def file_manifest(spark: SparkSession, paths: str | list[str], piece: int = PIECE) -> DataFrame:
+    """One row per file under `paths`: path, source_file, size_bytes, modified_at, sha256."""
     listed = [paths] if isinstance(paths, str) else list(paths)
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(listed)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"no such input: {', '.join(listed)}") from error
-        raise
-    facts = ["path", "length", "modificationTime"]
-    hashed = files.where(F.col("length") <= whole_file_limit).select(
-        *facts, F.sha2("content", 256).alias("sha256")
-    )
-    # Reads sizes only, no contents; without large files no Python worker starts.
-    largest = files.agg(F.max("length")).first()[0]
-    if largest is not None and largest > whole_file_limit:
-        spread = files.where(F.col("length") > whole_file_limit).select(*facts).repartition("path")
-        schema = "path string, length bigint, modificationTime timestamp, sha256 string"
-        hashed = hashed.unionByName(spread.mapInPandas(_hash_in_pieces, schema))
+    found = {file for part in for_each(all_files, [(spark, path) for path in listed]) for file in part}
+    rows = [(*file, address(file[0])) for file in sorted(found)]
+    # As many partitions as files, by number, which adaptive execution leaves alone: a row here is a whole file.
+    files = small_frame(spark, rows, f"{MANIFEST_DDL}, address STRING").repartition(max(1, len(rows)))
+    hashed = files.mapInPandas(_hasher(piece), f"{MANIFEST_DDL}, sha256 STRING")
     return hashed.select(
         "path",
         F.element_at(F.split("path", "/"), -1).alias("source_file"),
-        F.col("length").alias("size_bytes"),
-        F.col("modificationTime").alias("modified_at"),
+        "size_bytes",
+        F.timestamp_millis("modified_ms").alias("modified_at"),
         "sha256",
     )
 

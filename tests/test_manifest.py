@@ -5,6 +5,7 @@ import pytest
 
 from sievelake.sinks.files import qualified
 from sievelake.sources.manifest import (
+    address,
     batch_checksums,
     file_manifest,
     source_checksum,
@@ -27,14 +28,43 @@ def folder(tmp_path):
     return tmp_path / "batch", content
 
 
-@pytest.mark.parametrize("limit", [0, 50, 10**9])
-def test_every_file_is_hashed_whole_or_in_pieces(spark, folder, limit):
+@pytest.mark.parametrize("piece", [7, 8 * 1024 * 1024])
+def test_every_file_is_hashed_in_pieces_of_any_size(spark, folder, piece):
     path, content = folder
-    rows = file_manifest(spark, str(path), whole_file_limit=limit).collect()
+    rows = file_manifest(spark, str(path), piece=piece).collect()
     found = {row["source_file"]: (row["size_bytes"], row["sha256"]) for row in rows}
-    assert found == {
-        name.split("/")[-1]: (len(data), sha256(data)) for name, data in content.items() if data
-    }
+    assert found == {name.split("/")[-1]: (len(data), sha256(data)) for name, data in content.items()}
+
+
+def test_odd_names_large_files_and_another_working_folder(spark, tmp_path, monkeypatch):
+    odd = tmp_path / "with space" / "pct%41 é"
+    odd.mkdir(parents=True)
+    block = os.urandom(1 << 20)
+    with open(odd / "large#1.parquet", "wb") as file:
+        for _ in range(300):
+            file.write(block)
+    digest = hashlib.sha256()
+    for _ in range(300):
+        digest.update(block)
+    (odd / "_hidden").write_bytes(b"x")
+    monkeypatch.chdir(tmp_path)
+    (row,) = file_manifest(spark, str(odd)).collect()
+    assert (row["source_file"], row["size_bytes"], row["sha256"]) == ("large#1.parquet", 300 << 20, digest.hexdigest())
+    assert row["modified_at"] is not None
+
+
+def test_schemes_are_refused_by_name_before_a_job():
+    assert address("file:/a b/%41") == "/a b/%41"
+    assert address("s3a://bucket/a b/x%41") == "s3://bucket/a%20b/x%2541"
+    with pytest.raises(ValueError, match="ftp"):
+        address("ftp://host/a")
+
+
+def test_an_empty_file_changes_a_folders_checksum(spark, folder):
+    path, _ = folder
+    before = source_checksum(spark, str(path))
+    (path / "empty.parquet").unlink()
+    assert source_checksum(spark, str(path)) != before
 
 
 def test_checksum_of_a_file_is_its_sha256(spark, folder):
@@ -46,7 +76,7 @@ def test_checksum_of_a_file_is_its_sha256(spark, folder):
 def test_directory_checksum_sees_content_and_names_but_not_the_way_it_is_hashed(spark, folder):
     path, _ = folder
     before = source_checksum(spark, str(path))
-    manifest = file_manifest(spark, str(path), whole_file_limit=0)
+    manifest = file_manifest(spark, str(path), piece=3)
     batches = spark.createDataFrame([(qualified(spark, str(path)),)], "batch_path STRING")
     assert batch_checksums(with_batch_path(manifest, batches)).first()["source_checksum"] == before
     (path / "a.parquet").write_bytes(b"First")
@@ -69,8 +99,3 @@ def test_many_batches_by_one_manifest(spark, folder, tmp_path):
 def test_missing_source(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         source_checksum(spark, str(tmp_path / "absent.parquet"))
-
-
-def test_whole_files_are_hashed_without_python(spark, folder):
-    plan = file_manifest(spark, str(folder[0]))._jdf.queryExecution().toString()
-    assert "MapInPandas" not in plan and "sha2" in plan
