@@ -39,10 +39,6 @@ def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classified_batches(trips(spark, sf_dir), DATASET, PREFIX)
 
 
-def _batches(found: DataFrame) -> list[Batch]:
-    return [Batch(DATASET, PREFIX, row["year"], row["month"]) for row in found.collect()]
-
-
 # -- schema and rules ---------------------------------------------------------------------------
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievelake.batch import Batch, Lake
@@ -33,6 +33,17 @@ def classified_batches(
     return stamped.select(*[c for c in stamped.columns if c not in ("year", "month")], *batch)
 
 
+def of_batches(batches: list[Batch]) -> Column:
+    """True for the batches' partitions, in a form that a metastore can evaluate itself."""
+    months: dict[int, list[int]] = {}
+    for batch in batches:
+        months.setdefault(batch.year, []).append(batch.month)
+    wanted = F.lit(False)
+    for year, of_year in sorted(months.items()):
+        wanted = wanted | ((F.col("year") == year) & F.col("month").isin(sorted(of_year)))
+    return wanted
+
+
 def load_batches(
     spark: SparkSession,
     trips: DataFrame,
@@ -68,8 +79,7 @@ def load_batches(
         "year", "month", (F.col("valid_records") + F.col("warning_records")).alias("expected_records")
     )
     # A predicate on partition columns alone: other partitions are pruned, not counted.
-    loaded = (F.col("year") * 100 + F.col("month")).isin([b.year * 100 + b.month for b in batches])
-    compared = reconcile(expected, partition_counts(spark.table(table).where(loaded)))
+    compared = reconcile(expected, partition_counts(spark.table(table).where(of_batches(batches))))
     return (
         with_rates(summary)
         .withColumn("batch_id", addresses.batch_id(dataset, F.col("year"), F.col("month")))

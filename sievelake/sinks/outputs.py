@@ -22,6 +22,7 @@ from sievelake.operators.metrics import count_columns, quality_metrics, with_rat
 from sievelake.sinks import files
 from sievelake.sources.small import fields, small_frame
 
+FILE_BYTES = 256 * 1024 * 1024
 COUNTS_DDL = (
     "total_records BIGINT, valid_records BIGINT, warning_records BIGINT, quarantined_records BIGINT"
 )
@@ -45,7 +46,7 @@ def write_batch(
     counts = seen.get
     # Few rows out of many tasks: merged, or each scan task would leave a tiny file.
     some = counts["quarantined_records"]
-    held_back = quarantined(classified).hint("rebalance") if some else classified.limit(0)
+    held_back = quarantined(classified).hint("rebalance") if some else classified.where(F.lit(False))
     held_back.write.mode("overwrite").parquet(quarantine_output)
     row = small_frame(spark, [tuple(counts[name] for name, _ in fields(COUNTS_DDL))], COUNTS_DDL)
     with_rates(row).coalesce(1).write.mode("overwrite").json(metrics_output)
@@ -53,7 +54,11 @@ def write_batch(
 
 
 def write_batches(
-    classified: DataFrame, lake: Lake, dataset: str, clustered: bool = False
+    classified: DataFrame,
+    lake: Lake,
+    dataset: str,
+    clustered: bool = False,
+    file_bytes: int | None = None,
 ) -> list[dict[str, Any]]:
     """Write all batches of a DataFrame that carries their `year` and `month`; return counts per batch.
 
@@ -61,10 +66,14 @@ def write_batches(
     with each file holding rows of few batches, rows are rebalanced by batch:
     adaptive execution splits a hot batch over many tasks and merges small ones,
     so the number of files follows the data and not tasks times batches. The
-    counts come from a scan of the rule columns only, independent of what is written.
+    counts come from a scan of the rule columns only, independent of what is written. `file_bytes` is the size
+    that rebalanced partitions, and so files, aim at: by default what the session has set, or else FILE_BYTES.
     """
     spark = classified.sparkSession
     counts = [row.asDict() for row in quality_metrics(classified, ["year", "month"]).collect()]
+    for row in counts:
+        if row["year"] is None or row["month"] is None:
+            raise ValueError(f"{row['total_records']} rows have no batch: year or month is null")
     batches = {Batch(dataset, "", row["year"], row["month"]): row for row in counts}
 
     periods = [batch.period for batch in batches]
@@ -99,11 +108,20 @@ def write_batches(
     def write_metrics() -> None:
         _write_periods(rates, lake.metrics_root(dataset), periods, "json")
 
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    usual = spark.conf.get(advisory, None)
+    spark.conf.set(advisory, str(file_bytes or usual or FILE_BYTES))
     # Submitted together: the small jobs fill executors the large one leaves idle at its end.
-    with ThreadPoolExecutor(3) as pool:
-        writes = (write_curated, write_quarantine, write_metrics)
-        for done in [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]:
-            done.result()
+    try:
+        with ThreadPoolExecutor(3) as pool:
+            writes = (write_curated, write_quarantine, write_metrics)
+            for done in [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]:
+                done.result()
+    finally:
+        if usual is None:
+            spark.conf.unset(advisory)
+        else:
+            spark.conf.set(advisory, usual)
     files.for_each(_finish_curated, [(spark, lake.curated(batch), row) for batch, row in batches.items()])
     return counts
 
@@ -118,12 +136,10 @@ def _write_periods(df: DataFrame, root: str, periods: list[str], form: str) -> N
     """One job for all periods, then one move per period to its plain `YYYY-MM` directory."""
     spark = df.sparkSession
     staged = f"{root}/_staged-{uuid.uuid4().hex}"
-    try:
-        df.write.partitionBy("period").format(form).save(staged)
-        moves = [(spark, f"{staged}/period={period}", f"{root}/{period}") for period in periods]
-        files.for_each(_finish_period, moves)
-    finally:
-        files.remove(spark, staged)
+    df.write.partitionBy("period").format(form).save(staged)
+    moves = [(spark, f"{staged}/period={period}", f"{root}/{period}") for period in periods]
+    files.for_each(_finish_period, moves)
+    files.remove(spark, staged)  # kept if a move failed: it may hold the only copy
 
 
 def _finish_period(spark: SparkSession, staged: str, target: str) -> None:
