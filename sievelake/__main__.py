@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from sievelake.batch import Batch, Lake, under
 from sievelake.operators.ledger import COUNTS
+from sievelake.plans.one_pass import run_all
 from sievelake.plans.series import Site, run_series, run_single
 from sievelake.session import tune
 from sievelake.sinks import catalog
@@ -40,6 +41,7 @@ def parser() -> argparse.ArgumentParser:
     series.add_argument("--table", help="curated table; without it nothing is registered")
     series.add_argument("--no-reconcile", action="store_true")
     series.add_argument("--parallel", type=int, default=1, help="small batches that share the cluster")
+    series.add_argument("--one-pass", action="store_true", help="take each step for all batches at once; needs --lake")
     single = kinds.add_parser("single", parents=[shared], help="process one batch, without publication")
     single.add_argument("--period", type=_period, required=True, metavar="YYYY-MM")
     return commands
@@ -66,7 +68,8 @@ def main(arguments: list[str] | None = None) -> None:
             catalog.create_table(spark, options.table, lake.curated_root(options.dataset))
         site = Site(ledger, options.work, lake, options.table, not options.no_reconcile, cast=options.cast)
         batches = [Batch(options.dataset, options.prefix, *m) for m in months(options.first, options.last)]
-        for record in run_series(spark, batches, site, options.parallel):
+        run = run_all(spark, batches, site) if options.one_pass else run_series(spark, batches, site, options.parallel)
+        for record in run:
             _report(record)
     finally:
         spark.stop()

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from sievelake.checks.adapter import DATASET, PREFIX, trip_expressions
 from sievelake.checks.queries import EXPECTED_BATCHES, KEYS
-from sievelake.profiles import QUARANTINE, TRIPS, WARNING
 
 _T = "SELECT {} FROM lineitem".format(
     ", ".join(
@@ -12,7 +11,21 @@ _T = "SELECT {} FROM lineitem".format(
         for name, text in trip_expressions(lambda seconds: f"l_shipdate + to_seconds({seconds})")
     )
 )
-_RENAMED = ", ".join(f'"{source}" AS {name}' for source, name in TRIPS.renames.items())
+# Source and table names of the columns, and the rules of each severity in their order.
+_RENAMES = (
+    "VendorID vendor_id, tpep_pickup_datetime pickup_datetime, tpep_dropoff_datetime dropoff_datetime, "
+    "passenger_count passenger_count, trip_distance trip_distance, RatecodeID rate_code_id, "
+    "store_and_fwd_flag store_and_forward_flag, PULocationID pickup_location_id, DOLocationID dropoff_location_id, "
+    "payment_type payment_type, fare_amount fare_amount, extra extra, mta_tax mta_tax, tip_amount tip_amount, "
+    "tolls_amount tolls_amount, improvement_surcharge improvement_surcharge, total_amount total_amount, "
+    "congestion_surcharge congestion_surcharge, Airport_fee airport_fee, cbd_congestion_fee cbd_congestion_fee"
+)
+_QUARANTINE = (
+    "MISSING_PICKUP_DATETIME MISSING_DROPOFF_DATETIME INVALID_TIME_RANGE NEGATIVE_TRIP_DISTANCE "
+    "MISSING_PICKUP_LOCATION MISSING_DROPOFF_LOCATION"
+)
+_WARNING = "ZERO_TRIP_DISTANCE NEGATIVE_FARE_AMOUNT NEGATIVE_TOTAL_AMOUNT TRIP_OVER_24_HOURS"
+_RENAMED = ", ".join('"{}" AS {}'.format(*pair.split()) for pair in _RENAMES.split(", "))
 
 # The rules in DuckDB's dialect, written out on their own.
 _FIRES = {
@@ -29,15 +42,15 @@ _FIRES = {
 }
 
 
-def _codes(severity: str) -> str:
-    cases = [f"CASE WHEN {_FIRES[r.code]} THEN '{r.code}' END" for r in TRIPS.rules_of(severity)]
+def _codes(codes: str) -> str:
+    cases = [f"CASE WHEN {_FIRES[code]} THEN '{code}' END" for code in codes.split()]
     return f"concat_ws('|', {', '.join(cases)})"
 
 
 _WITH = f"""
 WITH t AS ({_T}),
 n AS (SELECT {_RENAMED}, year, month FROM t),
-r AS (SELECT *, {_codes(QUARANTINE)} AS quarantine_reasons, {_codes(WARNING)} AS warning_reasons FROM n),
+r AS (SELECT *, {_codes(_QUARANTINE)} AS quarantine_reasons, {_codes(_WARNING)} AS warning_reasons FROM n),
 c AS (SELECT *,
   CASE WHEN quarantine_reasons <> '' THEN 'QUARANTINE'
        WHEN warning_reasons <> '' THEN 'WARNING' ELSE 'VALID' END AS validation_status,
@@ -81,13 +94,43 @@ b AS (SELECT DISTINCT batch_id, sha256(batch_id || ':2') AS source_checksum FROM
 """
 _DONE = "SELECT 1 FROM done WHERE completed AND done.batch_id = b.batch_id AND done.source_checksum = b.source_checksum"
 
-_HISTORY = f"""{_WITH},
-h AS (SELECT period AS month, total_records AS source_records, valid_records, warning_records,
-  quarantined_records, valid_records + warning_records AS curated_records,
-  valid_records + warning_records AS athena_records
-  FROM (SELECT period, {_COUNTS} FROM c GROUP BY period))
+
+def _history(damaged: str = "TRUE") -> str:
+    return f"""{_WITH},
+h AS (SELECT period AS month, total_records + CASE WHEN {damaged} AND month = 5 THEN 1 ELSE 0 END AS source_records,
+  valid_records + CASE WHEN {damaged} AND month = 6 THEN 1 ELSE 0 END AS valid_records, warning_records,
+  CASE WHEN {damaged} AND month = 7 THEN -1 ELSE quarantined_records END AS quarantined_records,
+  good AS curated_records, CASE WHEN {damaged} AND month = 3 THEN 0 ELSE good END AS athena_records
+  FROM (SELECT year, month, period, {_COUNTS}, COUNT(*) FILTER (WHERE quarantine_reasons = '') AS good
+        FROM c GROUP BY year, month, period) WHERE NOT ({damaged} AND year = 1996 AND month = 8))
 """
 
+
+def _invariants(damaged: str) -> str:
+    return f"""SELECT * FROM ({_history(damaged)}
+        SELECT {damaged} AS damaged, 'source_is_curated_plus_quarantined' AS check_name,
+          BOOL_AND(source_records = curated_records + quarantined_records) AS passed FROM h
+        UNION ALL SELECT {damaged}, 'curated_is_valid_plus_warning',
+          BOOL_AND(curated_records = valid_records + warning_records) FROM h
+        UNION ALL SELECT {damaged}, 'published_is_curated', BOOL_AND(athena_records = curated_records) FROM h
+        UNION ALL SELECT {damaged}, 'counts_not_negative', BOOL_AND(source_records >= 0 AND curated_records >= 0
+          AND valid_records >= 0 AND warning_records >= 0 AND quarantined_records >= 0
+          AND athena_records >= 0) FROM h
+        UNION ALL SELECT {damaged}, 'expected_batch_count', COUNT(*) = {EXPECTED_BATCHES} FROM h)"""
+
+
+def _series(processing: str, published: str, partition: str, replaced: str = "FALSE") -> str:
+    """`replaced` names the month of which only the rows of vendor 1 are left, processed anew."""
+    new = "CASE WHEN replaced THEN '{}' ELSE '{}' END"
+    return f"""{_WITH}, s AS (SELECT batch_id, {replaced} AS replaced, {_COUNTS} FROM c
+        WHERE NOT ({replaced}) OR vendor_id = 1 GROUP BY batch_id, {replaced})
+        SELECT batch_id, 'SUCCESS' AS status, {new.format("SUCCESS", processing)} AS processing_status,
+          {new.format("SUCCESS", published)} AS s3_publish_status, '{partition}' AS glue_partition_status,
+          'MATCH' AS reconciliation_status, total_records AS rows_read, valid_records, warning_records,
+          quarantined_records, valid_records + warning_records AS expected_records,
+          valid_records + warning_records AS athena_records, CAST(0 AS BIGINT) AS difference FROM s"""
+
+
 _CLASSIFIED = f"{_KEYS}, quarantine_reasons, warning_reasons, validation_status"
 
 ORACLES: dict[str, str] = {
@@ -155,30 +198,35 @@ ORACLES: dict[str, str] = {
              WHEN reconciliation_status = 'FAILED' THEN 'FAILED'
              ELSE reconciliation_status END AS reconciliation_status FROM runs""",
     "partition_repair": f"""{_WITH} SELECT DISTINCT year, month,
-        CASE WHEN month IN (1, 2) THEN 'CREATED' ELSE 'EXISTS' END AS partition_status,
-        TRUE AS correct FROM c""",
+        CASE WHEN month IN (1, 2, 3) THEN 'CREATED' ELSE 'EXISTS' END AS partition_status, TRUE AS correct,
+        COUNT(*) FILTER (WHERE validation_status <> 'QUARANTINE') OVER (PARTITION BY year, month)
+          AS published_records FROM c""",
+    "series_first_run": _series("SUCCESS", "SUCCESS", "CREATED"),
+    "series_rerun": _series("SKIPPED_ALREADY_PROCESSED", "EXISTS", "EXISTS"),
+    "series_changed_source": _series("SKIPPED_ALREADY_PROCESSED", "EXISTS", "EXISTS", "year = 1995 AND month = 3"),
     "publication_state": f"""{_WITH} SELECT DISTINCT batch_id, TRUE AS raw_present, month <> 2 AS raw_matches,
         TRUE AS curated_complete, month <> 1 AS quarantine_complete, TRUE AS metrics_complete,
         month NOT IN (1, 2) AS published,
         CASE WHEN month IN (1, 2) THEN 'BACKFILLED' ELSE 'EXISTS' END AS action FROM c""",
-    "batch_totals": f"""{_HISTORY} SELECT CAST(SUM(source_records) AS BIGINT) AS total_source_records,
+    "batch_totals": f"""{_history()} SELECT CAST(SUM(source_records) AS BIGINT) AS total_source_records,
         CAST(SUM(curated_records) AS BIGINT) AS total_curated_records,
         CAST(SUM(valid_records) AS BIGINT) AS total_valid_records,
         CAST(SUM(warning_records) AS BIGINT) AS total_warning_records,
         CAST(SUM(quarantined_records) AS BIGINT) AS total_quarantined_records,
         CAST(SUM(curated_records) AS DOUBLE) / CAST(SUM(source_records) AS DOUBLE) * 100
           AS overall_pass_rate FROM h""",
-    "batch_pass_rates": f"""{_HISTORY} SELECT *,
+    "batch_pass_rates": f"""{_history()} SELECT *,
         ROUND(curated_records / source_records * 100, 4) AS quality_pass_rate,
         curated_records - athena_records AS reconciliation_difference FROM h""",
-    "invariants": f"""{_HISTORY}
-        SELECT 'source_is_curated_plus_quarantined' AS check_name,
-          BOOL_AND(source_records = curated_records + quarantined_records) AS passed FROM h
-        UNION ALL SELECT 'curated_is_valid_plus_warning',
-          BOOL_AND(curated_records = valid_records + warning_records) FROM h
-        UNION ALL SELECT 'published_is_curated', BOOL_AND(athena_records = curated_records) FROM h
-        UNION ALL SELECT 'counts_not_negative', BOOL_AND(source_records >= 0 AND curated_records >= 0
-          AND valid_records >= 0 AND warning_records >= 0 AND quarantined_records >= 0
-          AND athena_records >= 0) FROM h
-        UNION ALL SELECT 'expected_batch_count', COUNT(*) = {EXPECTED_BATCHES} FROM h""",
+    "invariants": f"{_invariants('FALSE')} UNION ALL {_invariants('TRUE')}",
+    "source_manifest": f"""{_WITH} SELECT 'year=' || year || '/month=' || month AS folder,
+        CAST(length(line) AS BIGINT) AS size_bytes, sha256(line) AS sha256
+        FROM (SELECT year, month, batch_id || ':' || COUNT(*) || chr(10) AS line FROM c GROUP BY year, month, batch_id)""",
+    "published_objects": f"""{_WITH}, d AS (SELECT DISTINCT year, month, period,
+          COUNT(*) FILTER (WHERE quarantine_reasons = '') OVER (PARTITION BY year, month) > 0 AS good,
+          COUNT(*) FILTER (WHERE quarantine_reasons <> '') OVER (PARTITION BY year, month) > 0 AS bad FROM c)
+        SELECT 'curated/{DATASET}/year=' || year || '/month=' || lpad(CAST(month AS VARCHAR), 2, '0') AS directory,
+          good AS has_data, TRUE AS has_marker, TRUE AS has_objects FROM d
+        UNION ALL SELECT 'quarantine/{DATASET}/' || period, bad, TRUE, TRUE FROM d
+        UNION ALL SELECT 'metrics/quality/{DATASET}/' || period, TRUE, TRUE, TRUE FROM d""",
 }

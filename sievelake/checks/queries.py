@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievelake.batch import Batch
+from sievelake.batch import Batch, Lake
 from sievelake.checks.adapter import DATASET, PREFIX, scratch, scratch_lake, scratch_table, trips
+from sievelake.checks.series import SERIES
 from sievelake.functions import addresses
 from sievelake.operators import classify as rows
 from sievelake.operators import ledger as ledgers
@@ -145,8 +146,17 @@ def batch_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checksums of the table files themselves."""
-    return file_manifest(spark, sf_dir).select("source_file", "size_bytes", "sha256")
+    """Size and SHA-256 of one text file per batch, written from the trips: a line with the batch's id and rows."""
+    line = F.concat_ws(":", addresses.batch_id(DATASET, F.col("in_year"), F.col("in_month")), "rows")
+    found = trips(spark, sf_dir).groupBy("year", "month")
+    found = found.agg(F.max("year").alias("in_year"), F.max("month").alias("in_month"), F.count("*").alias("rows"))
+    path = scratch(spark)
+    found.select("year", "month", line.alias("line")).write.partitionBy("year", "month").text(path)
+    folder = F.element_at(F.split(F.regexp_extract("path", "(year=.*)/", 1), "/"), 1)
+    month = F.element_at(F.split(F.regexp_extract("path", "(month=.*)/", 1), "/"), 1)
+    return file_manifest(spark, path).select(
+        F.concat_ws("/", folder, month).alias("folder"), "size_bytes", "sha256"
+    )
 
 
 # -- ledger -------------------------------------------------------------------------------------
@@ -276,26 +286,28 @@ def reconciliation_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partition_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every batch registered again after January was dropped and February moved elsewhere."""
-    lake, batches, table = _registered(spark, sf_dir)
-    for batch in batches:
-        spec = f"PARTITION (year={batch.year}, month={batch.month})"
-        if batch.month == 1:
-            spark.sql(f"ALTER TABLE {table} DROP {spec}")
-        elif batch.month == 2:
-            spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{lake.root}/elsewhere/{batch.period}'")
+    """Every batch registered again, with the counts then found.
+
+    Before that all months are found by MSCK REPAIR, which spells them with a leading zero; then January is
+    dropped, February lies elsewhere, and March is registered a second time.
+    """
+    lake, batches = _published(spark, sf_dir)
+    table = scratch_table()
+    catalog.create_table(spark, table, lake.curated_root(DATASET))
+    spark.sql(f"MSCK REPAIR TABLE {table}")
+    moved = Lake(f"{lake.root}/elsewhere")
+    catalog.register_partitions(spark, table, moved, [b for b in batches if b.month == 2])
+    catalog.drop_as_spelled(spark, table, [(str(b.year), b.month_string) for b in batches if b.month == 1])
+    twice = " ".join(
+        f"PARTITION (year={b.year}, month=3) LOCATION '{lake.curated(b)}'" for b in batches if b.month == 3
+    )
+    spark.sql(f"ALTER TABLE {table} ADD {twice}")
     changed = catalog.register_partitions(spark, table, lake, batches)
-    repaired = [
-        (
-            batch.year,
-            batch.month,
-            catalog.partition_status(changed[batch]),
-            catalog.partition_is_correct(spark, table, lake, batch),
-        )
-        for batch in batches
-    ]
+    correct = catalog.correct_partitions(spark, table, lake, batches)
+    repaired = [(b.year, b.month, catalog.partition_status(changed[b]), b in correct) for b in batches]
     schema = "year INT, month INT, partition_status STRING, correct BOOLEAN"
-    return small_frame(spark, repaired, schema)
+    counts = reconcile.partition_counts(spark.table(table))
+    return small_frame(spark, repaired, schema).join(counts, ["year", "month"])
 
 
 def publication_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,29 +334,52 @@ def publication_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def published_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Data files per published directory; the marker is not a data file."""
-    lake, _ = _published(spark, sf_dir)
+    """Per published directory: does it hold data, its marker, any object at all?"""
+    lake, batches = _published(spark, sf_dir)
+    root = files.qualified(spark, lake.root)
+    outputs = [out for b in batches for out in (lake.curated(b), lake.quarantine(b), lake.metrics(b))]
+    names = [files.qualified(spark, out)[len(root) + 1 :] for out in outputs]
+    marks = files.for_each(files.is_complete, [(spark, out) for out in outputs])
+    any_ = files.for_each(files.has_objects, [(spark, out) for out in outputs])
+    asked = small_frame(spark, list(zip(names, marks, any_)), "directory STRING, has_marker BOOLEAN, has_objects BOOLEAN")
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(lake.root)
     found = listing.select("path", F.col("length").alias("size_bytes"))
-    return publication.object_counts(found, files.qualified(spark, lake.root))
+    counted = publication.object_counts(found, root)
+    return asked.join(counted, "directory", "left").select(
+        "directory", (F.coalesce("data_files", F.lit(0)) > 0).alias("has_data"), "has_marker", "has_objects"
+    )
 
 
 # -- batch history ------------------------------------------------------------------------------
 
 
-def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per batch in the history's format, written as CSV and read back."""
+def _history(spark: SparkSession, sf_dir: str, damaged: bool = True) -> DataFrame:
+    """One row per batch in the history's format, written as CSV and read back.
+
+    Curated records are counted in the published files, athena records in the registered table. Damaged:
+    March is not registered, May has a source row too many, June a valid one, July a negative count,
+    and August 1996 is missing.
+    """
+    lake, batches, table = _registered(spark, sf_dir)
+    if damaged:
+        catalog.drop_as_spelled(spark, table, [(str(b.year), str(b.month)) for b in batches if b.month == 3])
+    month = F.col("month")
+    bad = F.lit(damaged)
     counted = metrics.quality_metrics(_classified(spark, sf_dir), ["year", "month"])
-    passed = F.col("valid_records") + F.col("warning_records")
+    written = reconcile.partition_counts(read_curated(spark, lake, DATASET))
+    shown = reconcile.partition_counts(spark.table(table))
+    zero = F.lit(0).cast("bigint")
     path = scratch(spark)
-    counted.select(
-        addresses.period(F.col("year"), F.col("month")).alias("month"),
-        F.col("total_records").alias("source_records"),
-        "valid_records",
+    counted.join(written.withColumnRenamed("published_records", "written"), ["year", "month"], "left").join(
+        shown.withColumnRenamed("published_records", "shown"), ["year", "month"], "left"
+    ).where(~(bad & (F.col("year") == 1996) & (month == 8))).select(
+        addresses.period(F.col("year"), month).alias("month"),
+        (F.col("total_records") + F.when(bad & (month == 5), 1).otherwise(0)).alias("source_records"),
+        (F.col("valid_records") + F.when(bad & (month == 6), 1).otherwise(0)).alias("valid_records"),
         "warning_records",
-        "quarantined_records",
-        passed.alias("curated_records"),
-        passed.alias("athena_records"),
+        F.when(bad & (month == 7), F.lit(-1)).otherwise(F.col("quarantined_records")).alias("quarantined_records"),
+        F.coalesce("written", zero).alias("curated_records"),
+        F.coalesce("shown", zero).alias("athena_records"),
     ).write.option("header", True).csv(path)
     return read_history(spark, path)
 
@@ -358,7 +393,12 @@ def batch_pass_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.history_checks(_history(spark, sf_dir), EXPECTED_BATCHES)
+    """Every check on an intact history and on a damaged one."""
+    intact, damaged = (
+        metrics.history_checks(_history(spark, sf_dir, bad), EXPECTED_BATCHES).withColumn("damaged", F.lit(bad))
+        for bad in (False, True)
+    )
+    return intact.unionByName(damaged)
 
 
 # -- end to end ---------------------------------------------------------------------------------
@@ -410,6 +450,7 @@ _QUERIES: dict[str, Query] = {
     "batch_totals": batch_totals,
     "batch_pass_rates": batch_pass_rates,
     "invariants": invariants,
+    **SERIES,
 }
 
 QUERIES = {name: _tuned(query) for name, query in _QUERIES.items()}

@@ -193,11 +193,19 @@ def _backfill(spark: SparkSession, batch: Batch, site: Site, record: dict[str, A
     Outputs written straight to the lake have no second copy; the source has the
     recorded checksum, so deriving them with the recorded ingestion time restores the same rows.
     """
+    restore(spark, batch, site, _recorded(spark, site, record).get("ingested_at") or utc_now())
+
+
+def restore(spark: SparkSession, batch: Batch, site: Site, ingested_at: str) -> None:
     if publish.has_processed_outputs(spark, batch, site.work_root):
         publish.copy_outputs(spark, site.lake, batch, site.work_root)
     else:
-        ingested_at = _recorded(spark, site, record).get("ingested_at") or utc_now()
-        _run(spark, batch, site, _lake_outputs(batch, site.lake), ingested_at)
+        transform(spark, batch, site, ingested_at)
+
+
+def transform(spark: SparkSession, batch: Batch, site: Site, ingested_at: str) -> dict[str, int]:
+    """One batch from its source straight into the lake."""
+    return _run(spark, batch, site, _lake_outputs(batch, site.lake), ingested_at)
 
 
 def _finish_publication(

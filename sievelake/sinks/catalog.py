@@ -103,7 +103,7 @@ def register_partitions(
         changed[batch] = not right
         surplus += [] if right else [values for values, _ in entries]
     if surplus:
-        _drop_as_spelled(spark, table, surplus)
+        drop_as_spelled(spark, table, surplus)
     missing = [batch for batch in batches if changed[batch]]
     if missing:
         specs = " ".join(
@@ -115,7 +115,7 @@ def register_partitions(
     return changed
 
 
-def _drop_as_spelled(spark: SparkSession, table: str, values: list[tuple[str, str]]) -> None:
+def drop_as_spelled(spark: SparkSession, table: str, values: list[tuple[str, str]]) -> None:
     """Drop partitions by the text of their values, which Spark would else read as numbers."""
     setting = "spark.sql.legacy.skipTypeValidationOnAlterPartition"
     usual = spark.conf.get(setting, "false")

@@ -103,10 +103,10 @@ def write_batches(
         )
 
     def write_quarantine() -> None:
-        _write_periods(bad, lake.quarantine_root(dataset), periods, "parquet")
+        write_periods(bad, lake.quarantine_root(dataset), periods, "parquet")
 
     def write_metrics() -> None:
-        _write_periods(rates, lake.metrics_root(dataset), periods, "json")
+        write_periods(rates, lake.metrics_root(dataset), periods, "json")
 
     advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     usual = spark.conf.get(advisory, None)
@@ -132,12 +132,14 @@ def _finish_curated(spark: SparkSession, target: str, counts: dict[str, Any]) ->
     files.mark_complete(spark, target)
 
 
-def _write_periods(df: DataFrame, root: str, periods: list[str], form: str) -> None:
+def write_periods(
+    df: DataFrame, root: str, periods: list[str], form: str, by: str = "period"
+) -> None:
     """One job for all periods, then one move per period to its plain `YYYY-MM` directory."""
     spark = df.sparkSession
     staged = f"{root}/_staged-{uuid.uuid4().hex}"
-    df.write.partitionBy("period").format(form).save(staged)
-    moves = [(spark, f"{staged}/period={period}", f"{root}/{period}") for period in periods]
+    df.write.partitionBy(by).format(form).save(staged)
+    moves = [(spark, f"{staged}/{by}={period}", f"{root}/{period}") for period in periods]
     files.for_each(_finish_period, moves)
     files.remove(spark, staged)  # kept if a move failed: it may hold the only copy
 

@@ -19,6 +19,7 @@ from sievelake.sinks.files import all_files, exists, for_each, qualified
 from sievelake.sources.small import small_frame
 
 PIECE = 8 * 1024 * 1024
+MOST_TASKS = 20_000
 SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
 MANIFEST_DDL = "path STRING, size_bytes BIGINT, modified_ms BIGINT"
 
@@ -65,7 +66,7 @@ def file_manifest(spark: SparkSession, paths: str | list[str], piece: int = PIEC
     found = {file for part in for_each(all_files, [(spark, path) for path in listed]) for file in part}
     rows = [(*file, address(file[0])) for file in sorted(found)]
     # As many partitions as files, by number, which adaptive execution leaves alone: a row here is a whole file.
-    files = small_frame(spark, rows, f"{MANIFEST_DDL}, address STRING").repartition(max(1, len(rows)))
+    files = small_frame(spark, rows, f"{MANIFEST_DDL}, address STRING").repartition(min(max(1, len(rows)), MOST_TASKS))
     hashed = files.mapInPandas(_hasher(piece), f"{MANIFEST_DDL}, sha256 STRING")
     return hashed.select(
         "path",

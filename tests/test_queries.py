@@ -5,10 +5,10 @@ import os
 import pytest
 from compare import duck, duck_rows, spark_rows
 
-import __spark_entry__ as contract
+from sievelake.checks.oracle import ORACLES
+from sievelake.checks.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-ROWS_ONLY = {"source_manifest", "published_objects"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
@@ -18,43 +18,27 @@ def connection():
     return duck(SF_DIR)
 
 
-def test_every_query_has_sql_but_those_on_files():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == ROWS_ONLY
-    assert not set(contract.oracle_sql()) - set(contract.queries())
+def test_every_query_has_sql_and_is_registered():
+    import __spark_entry__ as contract
 
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows(spark, connection, name):
-    types, rows = spark_rows(contract.queries()[name](spark, SF_DIR))
-    wanted_types, wanted_rows = duck_rows(connection, contract.oracle_sql()[name])
+    types, rows = spark_rows(QUERIES[name](spark, SF_DIR))
+    wanted_types, wanted_rows = duck_rows(connection, ORACLES[name])
     assert types == wanted_types
     assert rows == wanted_rows
     assert rows
 
 
-def test_source_manifest_is_the_files(spark):
-    import hashlib
-
-    found = {row["source_file"]: row["sha256"] for row in contract.queries()["source_manifest"](spark, SF_DIR).collect()}
-    wanted = {}
-    for name in os.listdir(SF_DIR):
-        with open(f"{SF_DIR}/{name}", "rb") as file:
-            wanted[name] = hashlib.sha256(file.read()).hexdigest()
-    assert found == wanted
-
-
-def test_published_objects_cover_every_batch(spark):
-    rows = contract.queries()["published_objects"](spark, SF_DIR).collect()
-    tops = [row["directory"].split("/")[0] for row in rows]
-    assert tops.count("curated") == tops.count("metrics") == 83
-    assert all(row["data_files"] >= 1 and row["size_bytes"] > 0 for row in rows)
-
-
 def test_results_do_not_depend_on_how_the_input_is_split(spark, connection, tmp_path):
     """The same table in many files and another order gives the same metrics."""
     spark.read.parquet(f"{SF_DIR}/lineitem.parquet").repartition(13, "l_partkey").write.parquet(
         str(tmp_path / "lineitem.parquet")
     )
     for name in ("quality_metrics_by_batch", "latest_processed_counts", "status_counts"):
-        _, rows = spark_rows(contract.queries()[name](spark, str(tmp_path)))
-        assert rows == duck_rows(connection, contract.oracle_sql()[name])[1]
+        _, rows = spark_rows(QUERIES[name](spark, str(tmp_path)))
+        assert rows == duck_rows(connection, ORACLES[name])[1]
