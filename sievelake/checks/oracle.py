@@ -155,6 +155,10 @@ ORACLES: dict[str, str] = {
     "curated_rows": f"{_WITH} SELECT {_CLASSIFIED} FROM c WHERE validation_status IN ('VALID', 'WARNING')",
     "quarantine_rows": f"{_WITH} SELECT {_CLASSIFIED} FROM c WHERE validation_status = 'QUARANTINE'",
     "written_metrics": _METRICS,
+    "single_run": f"{_WITH} SELECT *, {_RATES}, TRUE AS second_run_skipped FROM (SELECT {_COUNTS} FROM c)",
+    "published_quarantine": f"""{_WITH} SELECT {_KEYS.removesuffix(", year, month")}, batch_id, quarantine_reasons,
+        warning_reasons FROM c WHERE validation_status = 'QUARANTINE'""",
+    "published_metrics": f"{_WITH} SELECT *, {_RATES} FROM (SELECT period, {_COUNTS} FROM c GROUP BY period)",
     "total_rows": f"{_WITH} SELECT COUNT(*) AS total_records FROM c",
     "status_counts": f'{_WITH} SELECT validation_status, COUNT(*) AS "count" FROM c GROUP BY validation_status',
     "quality_metrics": _METRICS,
@@ -207,7 +211,8 @@ ORACLES: dict[str, str] = {
     "publication_state": f"""{_WITH} SELECT DISTINCT batch_id, TRUE AS raw_present, month <> 2 AS raw_matches,
         TRUE AS curated_complete, month <> 1 AS quarantine_complete, TRUE AS metrics_complete,
         month NOT IN (1, 2) AS published,
-        CASE WHEN month IN (1, 2) THEN 'BACKFILLED' ELSE 'EXISTS' END AS action FROM c""",
+        CASE month WHEN 1 THEN 'BACKFILLED' WHEN 2 THEN 'BACKFILLED' WHEN 4 THEN 'DISABLED' WHEN 5 THEN 'SUCCESS'
+          ELSE 'EXISTS' END AS action FROM c""",
     "batch_totals": f"""{_history()} SELECT CAST(SUM(source_records) AS BIGINT) AS total_source_records,
         CAST(SUM(curated_records) AS BIGINT) AS total_curated_records,
         CAST(SUM(valid_records) AS BIGINT) AS total_valid_records,

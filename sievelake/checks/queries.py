@@ -15,11 +15,13 @@ from sievelake.operators import classify as rows
 from sievelake.operators import ledger as ledgers
 from sievelake.operators import metrics, publication, reconcile
 from sievelake.operators.schema import normalize
+from sievelake.plans.batch_run import run_batch
 from sievelake.plans.load import classified_batches, load_batches
+from sievelake.plans.series import Site, run_single
 from sievelake.profiles import TRIPS
 from sievelake.session import tune
 from sievelake.sinks import catalog, files, publish
-from sievelake.sinks.outputs import read_curated, write_batch, write_batches
+from sievelake.sinks.outputs import read_curated, write_batches
 from sievelake.sources.history import read_history
 from sievelake.sources.ledger import append_ledger, read_ledger
 from sievelake.sources.manifest import file_manifest
@@ -82,8 +84,11 @@ def lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _written(spark: SparkSession, sf_dir: str) -> str:
+    """All trips as one raw batch on disk, read, checked and written as any batch is."""
     root = scratch(spark)
-    write_batch(_classified(spark, sf_dir), f"{root}/curated", f"{root}/quarantine", f"{root}/metrics")
+    trips(spark, sf_dir).write.parquet(f"{root}/raw")
+    outputs = (f"{root}/{name}" for name in ("curated", "quarantine", "metrics"))
+    run_batch(spark, f"{root}/raw", f"{PREFIX}.parquet", DATASET, "1.0", *outputs)
     return root
 
 
@@ -97,10 +102,26 @@ def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(written).select(*KEYS, "quarantine_reasons", "warning_reasons", "validation_status")
 
 
+METRICS_DDL = (
+    "total_records BIGINT, valid_records BIGINT, warning_records BIGINT, quarantined_records BIGINT, "
+    "quality_pass_rate DOUBLE, quarantine_rate DOUBLE"
+)
+
+
 def written_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = "quality_pass_rate DOUBLE, quarantine_rate DOUBLE"
-    counts = "total_records BIGINT, valid_records BIGINT, warning_records BIGINT, quarantined_records BIGINT"
-    return spark.read.schema(f"{counts}, {rates}").json(f"{_written(spark, sf_dir)}/metrics")
+    return spark.read.schema(METRICS_DDL).json(f"{_written(spark, sf_dir)}/metrics")
+
+
+def single_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All trips as one batch run alone, twice: the metrics it wrote, and whether the second run was skipped."""
+    work = scratch(spark)
+    batch = Batch(DATASET, PREFIX, 2000, 1)
+    site = Site(f"{work}/ledger", work)
+    trips(spark, sf_dir).write.parquet(site.source(batch))
+    run_single(spark, batch, site)
+    skipped = run_single(spark, batch, site) is None
+    found = spark.read.schema(METRICS_DDL).json(f"{work}/{batch.metrics_output}")
+    return found.withColumn("second_run_skipped", F.lit(skipped))
 
 
 # -- counts and rates ---------------------------------------------------------------------------
@@ -253,6 +274,20 @@ def published_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_curated(spark, lake, DATASET).select(*KEYS, "batch_id", "validation_status")
 
 
+def published_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake, _ = _published(spark, sf_dir)
+    held = spark.read.option("recursiveFileLookup", True).parquet(lake.quarantine_root(DATASET))
+    wanted = [name for name in KEYS if name not in ("year", "month")]
+    return _flat(held).select(*wanted, "batch_id", "quarantine_reasons", "warning_reasons")
+
+
+def published_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake, _ = _published(spark, sf_dir)
+    held = spark.read.schema(METRICS_DDL).option("recursiveFileLookup", True)
+    period = F.regexp_extract("_metadata.file_path", "/([0-9]{4}-[0-9]{2})/", 1)
+    return held.json(lake.metrics_root(DATASET)).withColumn("period", period)
+
+
 def partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.partition_counts(spark.table(_registered(spark, sf_dir)[2]))
 
@@ -312,7 +347,7 @@ def partition_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def publication_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State and next action per batch, after January lost its quarantine marker and February's
-    source changed."""
+    source changed; publication is off for April, and May was never processed."""
     lake, batches = _published(spark, sf_dir)
     current = _current_batches(spark, sf_dir)
     checksums = {row["batch_id"]: row["source_checksum"] for row in current.collect()}
@@ -326,7 +361,8 @@ def publication_state(spark: SparkSession, sf_dir: str) -> DataFrame:
             files.remove(spark, f"{lake.quarantine(batch)}/_SUCCESS")
     asked = [(b, "changed" if b.month == 2 else checksums[b.batch_id]) for b in batches]
     state = publish.published_batches(spark, lake, asked)
-    action = publication.publish_action(F.lit(True), F.lit(True), F.col("published"))
+    enabled, processed = (~F.col("batch_id").endswith(month) for month in ("_04", "_05"))
+    action = publication.publish_action(enabled, processed, F.col("published"))
     return state.select(
         "batch_id", "raw_present", "raw_matches", "curated_complete", "quarantine_complete",
         "metrics_complete", "published", action.alias("action"),
@@ -440,7 +476,10 @@ _QUERIES: dict[str, Query] = {
     "skipped_batches": skipped_batches,
     "latest_processed_counts": latest_processed_counts,
     "recorded_reruns": recorded_reruns,
+    "single_run": single_run,
     "published_rows": published_rows,
+    "published_quarantine": published_quarantine,
+    "published_metrics": published_metrics,
     "partition_counts": partition_counts,
     "reconcile_batches": reconcile_batches,
     "reconciliation_outcomes": reconciliation_outcomes,

