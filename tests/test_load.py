@@ -3,10 +3,11 @@ from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
-from trip_rows import SOURCE, source_row
+from pyspark.sql import functions as F
+from trip_rows import SOURCE, THREE_TRIPS, source_row
 
 from sievelake.batch import Batch, Lake
-from sievelake.plans.load import classified_batches, load_batches
+from sievelake.plans.load import classified_batches, load_batches, of_batches
 from sievelake.sinks import files, publish
 from sievelake.sinks.outputs import read_curated, write_batches
 
@@ -111,3 +112,38 @@ def test_hot_batch_is_split_over_files(spark, lake):
     assert per_month(read_curated(spark, lake, "d"), "month") == by_month
     hot, cold = (files.object_count(spark, lake.curated(Batch("d", "p", 2025, m))) for m in (8, 9))
     assert hot > cold
+
+
+def test_rows_without_a_batch_are_refused_by_name(spark, tmp_path):
+    rows = spark.createDataFrame(THREE_TRIPS, SOURCE).withColumn("year", F.lit(2025)).withColumn("month", F.lit(None).cast("int"))
+    with pytest.raises(ValueError, match="3 rows have no batch"):
+        write_batches(classified_batches(rows, "d", "p"), Lake(str(tmp_path)), "d")
+
+
+def test_a_move_that_fails_leaves_the_older_output(spark, tmp_path):
+    older = tmp_path / "target"
+    older.mkdir()
+    (older / "data").write_text("old")
+    with pytest.raises(Exception):
+        files.replace_directory(spark, str(tmp_path / "absent"), str(older))
+    assert [p.name for p in tmp_path.iterdir()] == ["target"] and (older / "data").read_text() == "old"
+
+
+def test_file_size_is_a_parameter_and_the_session_keeps_its_own(spark, tmp_path):
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting, None)
+    rows = spark.createDataFrame(THREE_TRIPS * 500, SOURCE).withColumn("year", F.lit(2025)).withColumn("month", F.lit(8))
+    made = []
+    for size in (2_000, 64 << 20):
+        lake = Lake(str(tmp_path / str(size)))
+        write_batches(classified_batches(rows.repartition(8), "d", "p"), lake, "d", file_bytes=size)
+        made.append(files.object_count(spark, lake.curated(Batch("d", "p", 2025, 8))))
+    assert made[0] > made[1]
+    assert spark.conf.get(setting, None) == before
+
+
+def test_counts_prune_by_a_predicate_a_metastore_can_evaluate(spark):
+    wanted = of_batches([Batch("d", "p", 2024, 12), Batch("d", "p", 2025, 1), Batch("d", "p", 2025, 2)])
+    grid = spark.sql("SELECT y AS year, m AS month FROM VALUES (2024), (2025) AS a(y), VALUES (1), (2), (12) AS b(m)")
+    assert {tuple(r) for r in grid.where(wanted).collect()} == {(2024, 12), (2025, 1), (2025, 2)}
+    assert "year * 100" not in str(wanted)
