@@ -75,23 +75,19 @@ def raked_cells(
 ) -> DataFrame:
     """source, lang, topic, tokens, weight. `cells` has the first four, one row each.
 
-    A step is a sum by one margin (partial sums first) joined back to the cells; two rounds make one job.
+    A step is a sum by one margin (partial sums first) joined back to the cells. Both read the table that the
+    step before has written, so that every plan is as small as the first.
     """
     goals = {m: _targets(cells, m, (targets or {}).get(m), alpha) for m in MARGINS}
-    state = cells.withColumn("raked", F.col("tokens").cast("double"))
-    for turn in range(rounds):
+    state = keep(cells.withColumn("raked", F.col("tokens").cast("double")))
+    for _ in range(rounds):
         for margin in MARGINS:
             sums = state.groupBy(margin).agg(F.sum("raked").alias("now"))
             factor = sums.join(goals[margin], margin).select(
                 margin, F.when(F.col("now") > 0, F.col("target") / F.col("now")).otherwise(1.0).alias("factor")
             )
-            state = (
-                state.join(factor, margin, "left")
-                .withColumn("raked", F.col("raked") * F.coalesce("factor", F.lit(1.0)))
-                .drop("factor")
-            )
-        if turn % 2 or turn == rounds - 1:
-            state = keep(state)
+            scaled = F.col("raked") * F.coalesce("factor", F.lit(1.0))
+            state = keep(state.join(factor, margin, "left").select(*MARGINS, "tokens", scaled.alias("raked")))
     weight = F.when(F.col("tokens") > 0, F.col("raked") / F.col("tokens")).otherwise(1.0)
     return state.select(*MARGINS, "tokens", weight.alias("weight"))
 
