@@ -14,10 +14,13 @@ Search. `BANDS` bands of `ROWS` coordinates are hashed; documents that share a b
 a link of similarity 0.85 is missed with a chance of 2e-8, one of 0.8 with 3e-6. Candidates are
 confirmed on their full sets. Documents of equal sets make a class first, and one of each class goes on.
 Candidates are never all pairs of a band:
-1. each member of a band is compared with the band's smallest member, and links make components;
-2. within a band only pairs of different components are left that could join anything; a join
-   with two necessary conditions (the sizes' ratio, and a bound on differing signature bits that a true link
-   exceeds with a chance below 1e-9) gives those still possible, and these are confirmed too.
+1. Each member of a band is compared with the band's smallest member if two necessary conditions hold: the sizes'
+   ratio, and a bound on differing signature bits that a true link exceeds with a chance below 1e-9. Those pairs
+   make families; the ones that full sets confirm are links and make components.
+2. What is left are links between components. Within a family, members outside its largest component
+   are compared with the whole family in blocks of bounded size, each block's common shingles being counted by
+   one matrix product; only links come out. Between families, pairs of one band that meet both conditions,
+   few as they are, are confirmed like those of step 1.
 Any pair of one band that is never compared is already connected, so no group is lost.
 
 Defined cases: a null text is empty; a null doc_id takes part in no link of its own: it is kept unless its
@@ -175,8 +178,9 @@ def near_duplicates(
     )
 
     # 1. each member of a band with the band's smallest
-    small = members.groupBy("band").agg(F.min(F.struct("doc_id", "n", "bits_a", "bits_b")).alias("s"), F.count("*").alias("c"))
-    small = small.where("c > 1").select("band", *[F.col(f"s.{x}").alias(f"s_{x}") for x in ("doc_id", "n", "bits_a", "bits_b")])
+    facts = ("doc_id", "n", "bits_a", "bits_b")
+    small = members.groupBy("band").agg(F.min(F.struct(*facts)).alias("s"), F.count("*").alias("c"))
+    small = small.where("c > 1").select("band", *[F.col(f"s.{x}").alias(f"s_{x}") for x in facts])
     differ = F.bit_count(F.col("bits_a").bitwiseXOR(F.col("s_bits_a"))) + F.bit_count(
         F.col("bits_b").bitwiseXOR(F.col("s_bits_b"))
     )
@@ -191,26 +195,28 @@ def near_duplicates(
         .select(F.col("s_doc_id").alias("a"), F.col("doc_id").alias("b"))
         .distinct()
     )
+    families = components(stars).withColumnRenamed("component", "family")
     links = _confirm(read, stars, shingle, over, under)
-    labels = components(links)
-
-    # 2. pairs of one band whose components differ
-    labelled = members.join(
-        labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left"
-    ).withColumn("component", F.coalesce("component", "doc_id"))
-    mixed_bands = labelled.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    labelled = keep(labelled.join(mixed_bands.select("band"), "band", "left_semi"))
-    other = labelled.select("band", *[F.col(x).alias(f"s_{x}") for x in ("doc_id", "n", "bits_a", "bits_b", "component")])
-    crossing = (
-        labelled.join(
-            other,
-            (labelled["band"] == other["band"]) & (F.col("component") != F.col("s_component")) & possible,
+    labels = keep(
+        families.join(components(links), "node", "left").select(
+            "node", "family", F.coalesce("component", "node").alias("component")
         )
+    )
+
+    # 2. links between components: within families, and between families that meet in a band
+    inner = _within_families(read, labels, shingle, over, under)
+    placed = members.join(labels.select(F.col("node").alias("doc_id"), "family"), "doc_id", "left")
+    placed = placed.withColumn("family", F.coalesce("family", "doc_id"))
+    met = placed.groupBy("band").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x < y")
+    placed = keep(placed.join(met.select("band"), "band", "left_semi"))
+    other = placed.select("band", *[F.col(x).alias(f"s_{x}") for x in (*facts, "family")])
+    crossing = (
+        placed.join(other, (placed["band"] == other["band"]) & (F.col("family") != F.col("s_family")) & possible)
         .select(F.col("s_doc_id").alias("a"), F.col("doc_id").alias("b"))
         .distinct()
     )
-    more = _confirm(read, keep(crossing.join(stars, ["a", "b"], "left_anti")), shingle, over, under)
-    labels = components(links.unionAll(more))
+    outer = _confirm(read, keep(crossing), shingle, over, under)
+    labels = components(links.unionAll(inner).unionAll(outer))
 
     groups = classes.join(labels, classes["class"] == labels["node"], "left").select(
         *key, F.coalesce("component", "class").alias("component_id")
@@ -225,6 +231,94 @@ def near_duplicates(
     )
 
 
+def _within_families(read: DataFrame, labels: DataFrame, shingle: int, over: int, under: int) -> DataFrame:
+    """Links of members outside their family's largest component with any member of the family.
+
+    Both sides are dealt into blocks of bounded counts of documents and shingles; every block of the
+    one meets every block of the other.
+    """
+    sizes = labels.groupBy("family", "component").agg(F.count("*").alias("n"))
+    largest = (
+        sizes.groupBy("family")
+        .agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("c"))
+        .where("c > 1")
+        .drop("c")
+    )
+    named = keep(labels.join(largest, "family"))
+    sets = read.join(named.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").mapInArrow(
+        shingled(shingle), "doc_id long, shingles binary"
+    )
+    held = keep(
+        named.join(sets.distinct(), named["node"] == sets["doc_id"]).select(
+            "family", "component", "doc_id", "shingles", (F.col("component") != F.col("largest")).alias("rest")
+        )
+    )
+    count = F.octet_length("shingles") / 8
+
+    def parts(rows: DataFrame, name: str, docs: int, shingles: int) -> DataFrame:
+        by = F.greatest(F.ceil(F.count("*") / docs), F.ceil(F.sum(count) / shingles))
+        return rows.groupBy("family").agg(by.cast("int").alias(name))
+
+    dealt = held.join(parts(held.where("rest"), "rests", 1000, 500_000), "family").join(
+        parts(held, "alls", 4000, 2_000_000), "family"
+    )
+    facts = ["family", "doc_id", "component", "shingles"]
+    own = F.xxhash64("doc_id")
+    rest = dealt.where("rest").select(
+        *facts, F.pmod(own, "rests").cast("int").alias("r"), F.explode(F.sequence(F.lit(0), F.col("alls") - 1)).alias("m"), F.lit(0).alias("side")
+    )
+    whole = dealt.select(
+        *facts, F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("r"), F.pmod(own, "alls").cast("int").alias("m"), F.lit(1).alias("side")
+    )
+    blocks_ = rest.unionAll(whole.select(rest.columns)).groupBy("family", "r", "m")
+    return keep(blocks_.applyInArrow(_block_links(over, under), "a long, b long").distinct())
+
+
+def _block_links(over: int, under: int):
+    """For applyInArrow: two sides of documents to links between them, one per document and component."""
+
+    def rows(table: pa.Table) -> pa.Table:
+        side = np.asarray(table["side"])
+        doc, component = np.asarray(table["doc_id"]), np.asarray(table["component"])
+        shingles = table["shingles"].combine_chunks() if table.num_rows else []
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in shingles]
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        if not len(left) or not len(right):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        size = np.array([len(x) for x in sets])
+        owner = np.repeat(np.arange(len(sets)), size)
+        word, place = np.unique(np.concatenate(sets), return_inverse=True)
+        # only what stands on both sides can be common
+        shared = np.zeros(len(word), np.int8)
+        for bit, own in ((1, left), (2, right)):
+            here = np.zeros(len(sets), bool)
+            here[own] = True
+            shared[place[here[owner]]] |= bit
+        number = np.cumsum(shared == 3) - 1
+        useful = shared[place] == 3
+        column, owner = number[place[useful]], owner[useful]
+        row = np.zeros(len(sets), np.int64)
+        row[left], row[right] = np.arange(len(left)), np.arange(len(right))
+        on_left = side[owner] == 0
+        common = np.zeros((len(left), len(right)), np.float32)
+        for first in range(0, int(number[-1]) + 1, 2048):
+            some = (column >= first) & (column < first + 2048)
+            x, y = np.zeros((len(left), 2048), np.float32), np.zeros((len(right), 2048), np.float32)
+            x[row[owner[some & on_left]], column[some & on_left] - first] = 1
+            y[row[owner[some & ~on_left]], column[some & ~on_left] - first] = 1
+            common += x @ y.T
+        total = size[left][:, None] + size[right][None, :]
+        i, j = np.nonzero(common.astype(np.int64) * (under + over) >= over * total)
+        a, b = doc[left[i]], doc[right[j]]
+        c = component[right[j]]
+        differs = component[left[i]] != c
+        a, b, c = a[differs], b[differs], c[differs]
+        _, once = np.unique(np.stack([a, c]), axis=1, return_index=True)
+        return pa.table({"a": np.minimum(a, b)[once], "b": np.maximum(a, b)[once]})
+
+    return rows
+
+
 def _confirm(read: DataFrame, pairs: DataFrame, shingle: int, over: int, under: int) -> DataFrame:
     """The pairs whose full sets are similar enough. Sets are made of those documents only that a pair names."""
     named = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
