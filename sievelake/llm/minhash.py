@@ -14,13 +14,14 @@ Search. `BANDS` bands of `ROWS` coordinates are hashed; documents that share a b
 a link of similarity 0.85 is missed with a chance of 2e-8, one of 0.8 with 3e-6. Candidates are
 confirmed on their full sets. Documents of equal sets make a class first, and one of each class goes on.
 Candidates are never all pairs of a band:
-1. Each member of a band is compared with the band's smallest member if two necessary conditions hold: the sizes'
+1. Each member of a band is paired with the band's smallest member if two necessary conditions hold: the sizes'
    ratio, and a bound on differing signature bits that a true link exceeds with a chance below 1e-9. Those pairs
-   make families; the ones that full sets confirm are links and make components.
-2. What is left are links between components. Within a family, members outside its largest component
+   make families. Between families, pairs of one band that meet both conditions, few as they are, are noted.
+2. The full sets of these documents are made once. Every document is compared with the partner it shares most
+   bands with, and pairs between families are compared; what is confirmed makes components.
+3. What is left are links between components of a family. Members outside its largest component
    are compared with the whole family in blocks of bounded size, each block's common shingles being counted by
-   one matrix product; only links come out. Between families, pairs of one band that meet both conditions,
-   few as they are, are confirmed like those of step 1.
+   one matrix product; only links come out.
 Any pair of one band that is never compared is already connected, so no group is lost.
 
 Defined cases: a null text is empty; a null doc_id takes part in no link of its own: it is kept unless its
@@ -34,7 +35,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievelake.llm.components import components
@@ -45,6 +46,8 @@ UNIVERSE_BITS = 20
 BANDS = 24
 ROWS = 4
 SEED = 20260101
+#: What a band's member is compared by.
+FACTS = ("doc_id", "n", "bits_a", "bits_b")
 
 _SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, bits_a long, bits_b long, bands array<long>"
 
@@ -109,7 +112,7 @@ def signed(shingle: int):
 
 
 def shingled(shingle: int):
-    """For mapInArrow: (doc_id, text) to the sorted set of shingle hashes, as bytes."""
+    """For mapInArrow: (doc_id, text, partner) to the sorted set of shingle hashes, as bytes."""
 
     def rows(batches):
         for batch in batches:
@@ -117,8 +120,12 @@ def shingled(shingle: int):
             for first, end, held in blocks(texts):
                 sets = [u.tobytes() for u in Words(held).shingles(shingle)]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, end - first).cast(pa.int64()), pa.array(sets, pa.binary())],
-                    names=["doc_id", "shingles"],
+                    [
+                        ids.slice(first, end - first),
+                        pa.array(sets, pa.binary()),
+                        batch.column(2).slice(first, end - first),
+                    ],
+                    names=["doc_id", "shingles", "partner"],
                 )
 
     return rows
@@ -177,10 +184,9 @@ def near_duplicates(
         heads.select("doc_id", F.col("n_shingles").alias("n"), "bits_a", "bits_b", F.explode("bands").alias("band"))
     )
 
-    # 1. each member of a band with the band's smallest
-    facts = ("doc_id", "n", "bits_a", "bits_b")
-    small = members.groupBy("band").agg(F.min(F.struct(*facts)).alias("s"), F.count("*").alias("c"))
-    small = small.where("c > 1").select("band", *[F.col(f"s.{x}").alias(f"s_{x}") for x in facts])
+    # each member of a band with the band's smallest
+    small = members.groupBy("band").agg(F.min(F.struct(*FACTS)).alias("s"), F.count("*").alias("c"))
+    small = small.where("c > 1").select("band", *[F.col(f"s.{x}").alias(f"s_{x}") for x in FACTS])
     differ = F.bit_count(F.col("bits_a").bitwiseXOR(F.col("s_bits_a"))) + F.bit_count(
         F.col("bits_b").bitwiseXOR(F.col("s_bits_b"))
     )
@@ -189,34 +195,47 @@ def near_duplicates(
         & (F.least("n", "s_n") * under >= F.greatest("n", "s_n") * over)
         & (differ <= most_differing_bits(over / under))
     )
-    stars = keep(
+    pairs = keep(
         members.join(small, "band")
         .where(possible)
-        .select(F.col("s_doc_id").alias("a"), F.col("doc_id").alias("b"))
+        .groupBy(F.col("s_doc_id").alias("a"), F.col("doc_id").alias("b"))
+        .agg(F.count("*").alias("shared"))
+    )
+    families = keep(components(pairs.select("a", "b")).withColumnRenamed("component", "family"))
+    crossing = _between_families(members, families, possible)
+
+    # the full sets of all documents that may have a link, made once, each with the partner to be confirmed first
+    partner = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("partner"))
+    named = (
+        families.select(F.col("node").alias("named"))
+        .unionAll(crossing.select("a"))
+        .unionAll(crossing.select("b"))
+        .distinct()
+        .join(partner, F.col("named") == F.col("b"), "left")
+        .select("named", "partner")
+    )
+    texts = read.join(named.hint("merge"), read["doc_id"] == F.col("named")).select("doc_id", "text", "partner")
+    sets = keep(texts.mapInArrow(shingled(shingle), "doc_id long, shingles binary, partner long"))
+
+    first = sets.where("partner IS NOT NULL").select(F.col("partner").alias("a"), F.col("doc_id").alias("b"), F.col("shingles").alias("right"))
+    whole = sets.select("doc_id", "shingles")
+    asked = first.select("a").distinct()
+    partners = whole.join(asked, whole["doc_id"] == asked["a"], "left_semi").toDF("a", "left")
+    sides = first.join(partners.hint("merge"), "a")
+    across = crossing.join(whole.toDF("b", "right"), "b").join(whole.toDF("a", "left"), "a")
+    links = keep(
+        sides.select("a", "b", "left", "right")
+        .unionAll(across.select("a", "b", "left", "right"))
+        .mapInArrow(confirmed(over, under), "a long, b long")
         .distinct()
     )
-    families = components(stars).withColumnRenamed("component", "family")
-    links = _confirm(read, stars, shingle, over, under)
     labels = keep(
         families.join(components(links), "node", "left").select(
             "node", "family", F.coalesce("component", "node").alias("component")
         )
     )
-
-    # 2. links between components: within families, and between families that meet in a band
-    inner = _within_families(read, labels, shingle, over, under)
-    placed = members.join(labels.select(F.col("node").alias("doc_id"), "family"), "doc_id", "left")
-    placed = placed.withColumn("family", F.coalesce("family", "doc_id"))
-    met = placed.groupBy("band").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x < y")
-    placed = keep(placed.join(met.select("band"), "band", "left_semi"))
-    other = placed.select("band", *[F.col(x).alias(f"s_{x}") for x in (*facts, "family")])
-    crossing = (
-        placed.join(other, (placed["band"] == other["band"]) & (F.col("family") != F.col("s_family")) & possible)
-        .select(F.col("s_doc_id").alias("a"), F.col("doc_id").alias("b"))
-        .distinct()
-    )
-    outer = _confirm(read, keep(crossing), shingle, over, under)
-    labels = components(links.unionAll(inner).unionAll(outer))
+    inner = _within_families(whole, labels, over, under)
+    labels = components(links.unionAll(inner))
 
     groups = classes.join(labels, classes["class"] == labels["node"], "left").select(
         *key, F.coalesce("component", "class").alias("component_id")
@@ -231,7 +250,21 @@ def near_duplicates(
     )
 
 
-def _within_families(read: DataFrame, labels: DataFrame, shingle: int, over: int, under: int) -> DataFrame:
+def _between_families(members: DataFrame, families: DataFrame, possible: Column) -> DataFrame:
+    """Pairs of one band, of different families, that may be linked."""
+    placed = members.join(families.select(F.col("node").alias("doc_id"), "family"), "doc_id", "left")
+    placed = placed.withColumn("family", F.coalesce("family", "doc_id"))
+    met = placed.groupBy("band").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x < y")
+    placed = keep(placed.join(met.select("band"), "band", "left_semi"))
+    other = placed.select("band", *[F.col(x).alias(f"s_{x}") for x in (*FACTS, "family")])
+    return keep(
+        placed.join(other, (placed["band"] == other["band"]) & (F.col("family") != F.col("s_family")) & possible)
+        .select(F.col("s_doc_id").alias("a"), F.col("doc_id").alias("b"))
+        .distinct()
+    )
+
+
+def _within_families(sets: DataFrame, labels: DataFrame, over: int, under: int) -> DataFrame:
     """Links of members outside their family's largest component with any member of the family.
 
     Both sides are dealt into blocks of bounded counts of documents and shingles; every block of the
@@ -244,14 +277,11 @@ def _within_families(read: DataFrame, labels: DataFrame, shingle: int, over: int
         .where("c > 1")
         .drop("c")
     )
-    named = keep(labels.join(largest, "family"))
-    sets = read.join(named.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").mapInArrow(
-        shingled(shingle), "doc_id long, shingles binary"
-    )
+    named = labels.join(largest, "family")
     held = keep(
-        named.join(sets.distinct(), named["node"] == sets["doc_id"]).select(
-            "family", "component", "doc_id", "shingles", (F.col("component") != F.col("largest")).alias("rest")
-        )
+        sets.join(named, sets["doc_id"] == named["node"])
+        .select("family", "component", "doc_id", "shingles", (F.col("component") != F.col("largest")).alias("rest"))
+        .distinct()
     )
     count = F.octet_length("shingles") / 8
 
@@ -319,14 +349,6 @@ def _block_links(over: int, under: int):
     return rows
 
 
-def _confirm(read: DataFrame, pairs: DataFrame, shingle: int, over: int, under: int) -> DataFrame:
-    """The pairs whose full sets are similar enough. Sets are made of those documents only that a pair names."""
-    named = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = keep(read.join(named, "doc_id", "left_semi").mapInArrow(shingled(shingle), "doc_id long, shingles binary"))
-    sides = pairs.join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a").select("a", "b", "left", "right")
-    return keep(sides.mapInArrow(confirmed(over, under), "a long, b long").distinct())
-
-
 def drop_near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
