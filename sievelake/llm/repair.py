@@ -32,7 +32,7 @@ from sievelake.llm import tokens
 from sievelake.llm.storage import folder, keep, write_file
 
 MAGIC = b"REPAIR\x00\x01"
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS = 1_000_000
 TURNS = 5
 PAIRS = 2048
 LEAST = 16

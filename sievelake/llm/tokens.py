@@ -10,9 +10,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words an encoder remembers before it starts afresh, so that its memory is bounded.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 #: Bytes of text that are encoded in one go, unless a single text is longer.
-STEP = 4_000_000
+STEP = 2_000_000
 
 #: A letter of the Latin blocks and an ASCII mark after it.
 _LETTER_THEN_MARK = r"([A-Za-zÀ-ÖØ-öø-ɏ])([.,!?|%*&$#])"
