@@ -4,7 +4,9 @@ Texts are dealt out by ranges of doc_id and sorted; a task encodes its documents
 shards of about `shard_tokens` ids, compresses each shard on its own and writes it as one file. Within a
 shard, Re-Pair replaces frequent pairs of neighbouring symbols by new symbols, again and again: a turn
 counts all pairs, takes the `pairs` most frequent ones that occur `least` times or more, and replaces them from
-left to right. No pair reaches over the end of a document, so that every document can be decoded alone.
+left to right. Turns go on until no pair occurs `least` times; `pairs` bounds a turn, not the grammar. A rule takes
+12 bytes of a file and each use of it saves 3, so that pairs seen fewer than four times would not pay.
+No pair reaches over the end of a document, so that every document can be decoded alone.
 
 File (little endian): magic, then a header of eight int64: format version, vocabulary size, documents,
 symbols, rules, ids, ids before this shard in its partition, partition. Then doc_id int64 (and one byte each: 1 if
@@ -33,40 +35,43 @@ from sievelake.llm.storage import folder, keep, write_file
 
 MAGIC = b"REPAIR\x00\x01"
 SHARD_TOKENS = 1_000_000
-TURNS = 5
 PAIRS = 2048
-LEAST = 16
+LEAST = 4
 END = 1
 _BINS = 20
 _WRITTEN = "partition int, file string, docs long, ids long, symbols long"
 _READ = "doc_id long, start long, n_tokens long, ids_crc32 long, partition int"
 
 
-def compress(ids: np.ndarray, counts: np.ndarray, vocabulary: int, turns: int = TURNS, pairs: int = PAIRS, least: int = LEAST):
+def compress(ids: np.ndarray, counts: np.ndarray, vocabulary: int, pairs: int = PAIRS, least: int = LEAST):
     """symbols, symbols of each document, rules (n x 2), expansion lengths of the rules."""
     seq = ids.astype(np.uint32)
     last = np.zeros(len(seq), bool)
     last[np.cumsum(counts) - 1] = True
-    rules = np.zeros((0, 2), np.uint32)
-    for _ in range(turns):
-        if len(seq) < 2:
-            break
-        key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
+    rules, lengths = np.zeros((0, 2), np.uint32), np.ones(vocabulary, np.uint32)
+    # places whose pair may be frequent: an old pair only becomes rarer, so that rare ones are not counted again
+    alive = ~last
+    while True:
+        at = np.flatnonzero(alive)
+        key = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
         # a table of hashed pairs shows which can be frequent at all; those are counted exactly
         with np.errstate(over="ignore"):
             bin_ = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BINS)).astype(np.int32)
-        bin_[last[:-1]] = 1 << _BINS
-        heavy = np.bincount(bin_, minlength=(1 << _BINS) + 1) >= least
-        heavy[1 << _BINS] = False
-        at = np.flatnonzero(heavy[bin_])
-        found, number = np.unique(key[at], return_counts=True)
+        heavy = (np.bincount(bin_, minlength=1 << _BINS) >= least)[bin_]
+        alive[at[~heavy]] = False
+        at, key, bin_ = at[heavy], key[heavy], bin_[heavy]
+        found, number = np.unique(key, return_counts=True)
         often = np.flatnonzero(number >= least)
         if not len(often):
             break
         often = often[np.lexsort((found[often], -number[often]))[:pairs]]
         chosen = np.sort(found[often])
-        near = np.minimum(np.searchsorted(chosen, key[at]), len(chosen) - 1)
-        hit = chosen[near] == key[at]
+        with np.errstate(over="ignore"):
+            marked = np.zeros(1 << _BINS, bool)
+            marked[(chosen * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BINS)] = True
+        at, key = at[marked[bin_]], key[marked[bin_]]
+        near = np.minimum(np.searchsorted(chosen, key), len(chosen) - 1)
+        hit = chosen[near] == key
         at, near = at[hit], near[hit]
         # of overlapping places take every other one, from the left
         opens = np.append(True, np.diff(at) != 1)
@@ -76,18 +81,14 @@ def compress(ids: np.ndarray, counts: np.ndarray, vocabulary: int, turns: int =
         used = np.unique(near)
         new = np.zeros(len(chosen), np.uint32)
         new[used] = vocabulary + len(rules) + np.arange(len(used), dtype=np.uint32)
-        pair = chosen[used]
-        rules = np.concatenate(
-            [rules, np.stack([pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)]
-        )
+        pair = np.stack([chosen[used] >> np.uint64(32), chosen[used] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
+        rules, lengths = np.concatenate([rules, pair]), np.concatenate([lengths, lengths[pair].sum(1, dtype=np.uint32)])
         seq[at] = new[near]
         last[at] = last[at + 1]
+        alive[at], alive[at - (at > 0)] = ~last[at], ~last[at - (at > 0)]
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
-        seq, last = seq[stay], last[stay]
-    lengths = np.ones(vocabulary + len(rules), np.uint32)
-    for i, (left, right) in enumerate(rules):
-        lengths[vocabulary + i] = lengths[left] + lengths[right]
+        seq, last, alive = seq[stay], last[stay], alive[stay]
     return seq, np.diff(np.flatnonzero(last), prepend=-1), rules, lengths[vocabulary:]
 
 
@@ -115,12 +116,13 @@ class Shard:
         # what every symbol stands for, one after the other
         self.begin = np.concatenate([np.arange(self.vocabulary), self.vocabulary + np.cumsum(self.lengths[self.vocabulary :]) - self.lengths[self.vocabulary :]])
         self.flat = np.concatenate([np.arange(self.vocabulary, dtype=np.uint32), np.zeros(int(self.lengths[self.vocabulary :].sum()), np.uint32)])
-        for i, (left, right) in enumerate(self.rules):
+        newest, i = np.maximum.accumulate(self.rules.max(axis=1, initial=0)), 0
+        while i < len(self.rules):  # runs of rules that are made of symbols before the run
+            j = max(i + 1, int(np.searchsorted(newest, self.vocabulary + i)))
+            made = self.expand(self.rules[i:j].ravel())
             to = self.begin[self.vocabulary + i]
-            for x in (left, right):
-                n = self.lengths[x]
-                self.flat[to : to + n] = self.flat[self.begin[x] : self.begin[x] + n]
-                to += n
+            self.flat[to : to + len(made)] = made
+            i = j
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         length = self.lengths[symbols]

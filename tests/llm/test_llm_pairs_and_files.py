@@ -299,6 +299,20 @@ def test_grammar_decodes_any_part_and_shortens():
         repair.Shard(b"something else")
 
 
+@pytest.mark.parametrize("pairs", [8, repair.PAIRS])
+def test_grammar_goes_on_until_no_pair_is_frequent(pairs):
+    rng = np.random.default_rng(5)
+    counts = np.array([64 * 1000, 300, 1])
+    ids = np.concatenate([np.tile(np.arange(64), 1000), rng.integers(0, 40, 301)]).astype(np.uint32)
+    symbols, each, rules, lengths = repair.compress(ids, counts, 64, pairs)
+    assert each[0] < 64 * 1000 / 1000 and lengths.max() > 32
+    ends = set(np.cumsum(each) - 1)
+    seen = Counter((a, b) for i, (a, b) in enumerate(zip(symbols[:-1].tolist(), symbols[1:].tolist())) if i not in ends)
+    assert max(seen.values()) < repair.LEAST <= 4
+    shard = repair.Shard(b"".join(repair._parts([1, 2, 3], counts, ids, 64, 0, 0)))
+    assert np.array_equal(np.concatenate([shard.ids(i) for i in range(3)]), ids)
+
+
 # ---- classifier
 
 
