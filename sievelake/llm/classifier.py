@@ -6,9 +6,9 @@ Gated attention, softmax over the bag of w . (tanh(V h) * sigmoid(U h)), weighs
 their codes is scored by a logistic unit. All weights are learned together from document labels.
 
 Fitting takes at most `sample` labelled documents of each label (a documented bound, chosen by a hash of doc_id)
-and of each at most `MOST_PASSAGES` passages, evenly spaced; losses are weighted so that the labels count as
+and of each all passages; losses are weighted so that the labels count as
 often as in all rows allowed. The features of that sample come to the driver, which runs the
-gradient steps; scoring reads whole texts in tasks, all passages, with the weights as a broadcast of fixed size.
+gradient steps, adding up gradients over runs of about `PIECE` passages; scoring reads whole texts in tasks, all passages, with the weights as a broadcast of fixed size.
 
 Labels are learned from rows whose crc32 of doc_id (as text) modulo 3 is not 1. Scores depend on the text alone.
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from sievelake.llm.text import Words, blocks
 
 PASSAGE = 64
-MOST_PASSAGES = 24
+PIECE = 50_000
 SAMPLE = 2500
 CODE = 24
 GATE = 12
@@ -124,8 +124,12 @@ def gradients(model, x, first, y, weight) -> dict[str, np.ndarray]:
 
 def fit(x: np.ndarray, first: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = STEPS) -> dict[str, np.ndarray]:
     """Weights from bags of passages by Adam; a function of its input alone."""
-    mean, scale = x.mean(0), x.std(0) + 1e-3
-    x = ((x - mean) / scale).astype(np.float64)
+    mean = np.array([c.mean(dtype=np.float64) for c in x.T])
+    scale = np.array([c.std(dtype=np.float64) for c in x.T]) + 1e-3
+    # runs of whole bags, of PIECE passages or of a bag that has more
+    heads = np.flatnonzero(np.diff(first // PIECE, prepend=-1))
+    tails = np.append(heads[1:], len(first))
+    ends = np.append(first, len(x))
     rng = np.random.default_rng(SEED)
     shapes = {"W": (FEATURES, CODE), "V": (CODE, GATE), "U": (CODE, GATE), "w": (GATE,), "c": (CODE,)}
     model = {k: rng.normal(0, 1 / np.sqrt(v[0]), v) for k, v in shapes.items()} | {"b": np.zeros(CODE), "d": np.zeros(1)}
@@ -133,7 +137,12 @@ def fit(x: np.ndarray, first: np.ndarray, y: np.ndarray, weight: np.ndarray, ste
     m = {k: np.zeros_like(v) for k, v in model.items()}
     v = {k: np.zeros_like(x_) for k, x_ in model.items()}
     for step in range(1, steps + 1):
-        for k, g in gradients(model, x, first, y, weight).items():
+        total = dict.fromkeys(model, 0.0)
+        for i, j in zip(heads, tails):
+            piece = (x[ends[i] : ends[j]] - mean) / scale
+            for k, g in gradients(model, piece, first[i:j] - first[i], y[i:j], weight[i:j]).items():
+                total[k] = total[k] + g
+        for k, g in total.items():
             g = g + DECAY * model[k]
             m[k] = 0.9 * m[k] + 0.1 * g
             v[k] = 0.999 * v[k] + 0.001 * g * g
@@ -157,10 +166,7 @@ def _featured(batches):
         texts = batch.column(1).to_pylist()
         for begin, end, held in blocks(texts):
             x, first = encoded(held)
-            rows = []
-            for a, b in zip(first[:-1], first[1:]):
-                pick = np.unique(np.linspace(a, b - 1, min(b - a, MOST_PASSAGES)).astype(np.int64))
-                rows.append(x[pick].tobytes())
+            rows = [x[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(begin, end - begin), pa.array(rows, pa.binary())], names=["label", "passages"]
             )

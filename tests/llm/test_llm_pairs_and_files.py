@@ -328,6 +328,23 @@ def test_classifier_tells_held_out_documents_apart(spark):
     assert all((s >= 0.5) == p and 0 <= s <= 1 for _, _, p, s in held)
 
 
+def test_fitting_sees_every_passage(monkeypatch):
+    import pyarrow as pa
+
+    text = " ".join(["plain"] * classifier.PASSAGE * 40 + ["#$%"] * classifier.PASSAGE + ["plain"] * classifier.PASSAGE * 59)
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 1], pa.int32()), pa.array([text, ""])], names=["label", "text"])
+    (out,) = classifier._featured([batch])
+    got = [np.frombuffer(p, np.float32).reshape(-1, classifier.FEATURES) for p in out.column(1).to_pylist()]
+    whole, first = classifier.encoded([text.encode()])
+    assert [len(x) for x in got] == [100, 1] and np.array_equal(got[0], whole)
+    x, first = np.concatenate([got[0], got[1], got[0][35:45]]), np.array([0, 100, 101])
+    y, weight = np.array([0.0, 1, 0]), np.ones(3)
+    at_once = classifier.fit(x, first, y, weight, 5)
+    monkeypatch.setattr(classifier, "PIECE", 8)
+    in_pieces = classifier.fit(x, first, y, weight, 5)
+    assert all(np.allclose(at_once[k], in_pieces[k]) for k in at_once)
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(0)
     x, first = rng.normal(size=(7, classifier.FEATURES)), np.array([0, 3, 4])
