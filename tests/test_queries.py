@@ -46,3 +46,17 @@ def test_results_do_not_depend_on_how_the_input_is_split(spark, connection, tmp_
     for name in ("quality_metrics_by_batch", "latest_processed_counts", "status_counts"):
         _, rows = spark_rows(QUERIES[name](spark, str(tmp_path)))
         assert rows == duck_rows(connection, ORACLES[name])[1]
+
+
+def test_faults_to_reconcile_lie_in_lake_and_catalog(spark, monkeypatch):
+    from sievelake.checks import queries
+    from sievelake.sinks import catalog
+
+    name = queries.scratch_table()
+    monkeypatch.setattr(queries, "scratch_table", lambda: name)
+    rows = QUERIES["reconcile_batches"](spark, SF_DIR).collect()
+    held = {(r["year"], r["month"]): r["n"] for r in spark.sql(f"SELECT year, month, count(*) AS n FROM {name} GROUP BY ALL").collect()}
+    months = {month for _, month in catalog.listed_partitions(spark, name)}
+    assert 3 not in months and 2 in months
+    assert all(r["published_records"] == held.get((r["year"], r["month"]), 0) for r in rows)
+    assert {r["expected_records"] for r in rows if r["month"] == 2} == {0}
