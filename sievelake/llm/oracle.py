@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from sievelake.llm import oracle_conversations
 from sievelake.llm.licenses import RULES
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -198,4 +199,5 @@ ORACLES = {
     "op6_substring_dedup": _SUBSTRING,
     "op7_warc_bundles": _WARC,
     "op10_line_dedup": _LINES,
+    **oracle_conversations.ORACLES,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievelake.llm import classifier, decontaminate, licenses, line_windows, minhash, mixing, quality_rules, repair, substring, warc
+from sievelake.llm import classifier, decontaminate, dialogue_repair, licenses, line_windows, minhash, mixing, quality_rules, repair, substring, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +84,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation damaged and repaired: faults, cost, audit and the hash of the result."""
+    return dialogue_repair.report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_license_scan": op2_license_scan,
@@ -95,4 +100,5 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_line_dedup": op10_line_dedup,
+    "op11_dialogue_repair": op11_dialogue_repair,
 }

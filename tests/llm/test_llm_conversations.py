@@ -1,0 +1,158 @@
+"""Repair of conversations and the prefix trie against plain Python, with the awkward rows."""
+
+import hashlib
+import heapq
+import random
+import re
+import zlib
+
+import pytest
+
+from sievelake.llm import dialogue_repair
+
+SCHEMA = "conv_id long, turn long, role string, text string, code string, audit string, position long, kind string, n int"
+PAD = ("x", "x", 7, "x", 7)
+
+
+def table(seed: int = 5) -> list[tuple]:
+    """Short conversations of all kinds; number 50 is long; number 60 appears only in turns that are dropped."""
+    rng = random.Random(seed)
+    out = []
+    for c in range(40):
+        for t in range(rng.randint(1, 9)):
+            role = rng.choice(["user", "assistant"]) if rng.random() < 0.3 else ("user", "assistant")[t % 2]
+            role = "system" if t == 0 and rng.random() < 0.3 else role
+            text = rng.choice(["Yes.", "No!", "Well", "Is it? ", " \t", "", "É à.", "Fine.\n"])
+            out.append((c, t + (t > 4), role, text))
+    out += [(50, t, ("user", "assistant", "assistant", "tool")[rng.randrange(4)], f"text {t % 90}{'.' * (t % 3)}") for t in range(400)]
+    out += [(60, t, "user", "Gone.") for t in range(400) if zlib.crc32(f"60:{t}".encode()) % 20 == 0]
+    out += [(70, 1, "user", "Twice."), (70, 1, "user", "Twice."), (70, 1, "assistant", "Same turn."), (70, None, "system", "First.")]
+    out += [(71, None, None, None), (71, 3, None, "Nobody."), (71, 5, "user", None), (None, 1, "user", "Whose?"), (None, 2, "assistant", "None")]
+    out += [(-7, -3, "user", "Minus."), (-7, -1, "assistant", "a" * 200_000 + ".")]
+    return out
+
+
+def shortest(rows: list[tuple[str, str]]) -> tuple[int, str]:
+    """(cost, audit) by a shortest path over (rows passed, last role); rows are (initial, fault)."""
+    after = {"": "su", "s": "u", "u": "a", "a": "u"}
+    heap, done = [(0, "", 0, "")], set()
+    while True:
+        cost, audit, i, last = heapq.heappop(heap)
+        if i == len(rows) and last in ("", "a"):
+            return cost, audit
+        if (i, last) in done:
+            continue
+        done.add((i, last))
+        for role in after[last].replace("s", ""):
+            heapq.heappush(heap, (cost + 5, audit + "I", i, role))
+        if i < len(rows):
+            initial, fault = rows[i]
+            heapq.heappush(heap, (cost + 2, audit + "D", i + 1, last))
+            if fault not in ("blank", "duplicate"):
+                more = 5 if fault == "truncated" else 0
+                for role in after[last]:
+                    if role == initial:
+                        heapq.heappush(heap, (cost + more, audit + "K", i + 1, role))
+                    if role != "s":
+                        heapq.heappush(heap, (cost + more + 1, audit + "R", i + 1, role))
+
+
+def damaged(rows):
+    out = []
+    for conv_id, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        key = f"{' ' if conv_id is None else conv_id}:{' ' if turn is None else turn}"
+        kind = zlib.crc32(key.encode()) % 20
+        text = {1: "", 2: re.sub("[.!?]", "", text)}.get(kind, text)
+        out += [(conv_id, turn, "user" if kind == 4 else role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    return out
+
+
+def ordered(rows):
+    """Rows by turn, nulls first; of one turn by a hash of role and text."""
+    digest = lambda r: hashlib.md5(f"{len(r[2])}:{r[2]}{r[3]}".encode()).hexdigest()
+    return sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, digest(r)))
+
+
+def repaired_plain(conv_id, rows):
+    rows, seen, coded = ordered(rows), set(), []
+    for _, _, role, text in rows:
+        body = text.rstrip(" \t\n\x0b\x0c\r")
+        fault = "blank" if not body else "duplicate" if (role, text) in seen else "" if body[-1] in ".!?" else "truncated"
+        seen.add((role, text))
+        coded.append((role[:1], fault))
+    cost, audit = shortest(coded)
+    length, out, i = len(audit) - audit.count("D"), [], 0
+    for edit in audit:
+        role = "user" if (len(out) + 1 - length) % 2 else "assistant"
+        if edit == "I":
+            out.append((role, ""))
+            continue
+        if edit != "D":
+            out.append((rows[i][2] if edit == "K" else role, rows[i][3]))
+        i += 1
+    assert re.fullmatch("(s?(ua)+)?", "".join(r[:1] for r, _ in out))
+    turns = {r[1] for r in rows} - {None}
+    faults = [f for _, f in coded]
+    illegal = sum(a[0] + b[0] not in ("su", "ua", "au") for a, b in zip(coded, coded[1:]))
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    body = "\n".join(f"{r}:{t}" for r, t in out)
+    sha = hashlib.sha256(body.encode()).hexdigest()
+    return (conv_id, gaps, *map(faults.count, ("blank", "duplicate", "truncated")), illegal, cost, audit, sha), out
+
+
+def test_search_finds_the_least_cost_and_audit():
+    rng = random.Random(2)
+    names = ["", "truncated", "duplicate", "blank"]
+    for _ in range(3000):
+        codes = "".join(rng.choice(dialogue_repair._CODES) for _ in range(rng.randint(0, 10)))
+        plain = [("sua-"[dialogue_repair._CODES.index(c) // 4], names[dialogue_repair._CODES.index(c) % 4]) for c in codes]
+        assert dialogue_repair.search(codes) == shortest(plain)
+    for n in (40, 300):  # joined from segments
+        codes = "".join(rng.choice("eeeeiiiiaefijgk") for _ in range(n))
+        plain = [("sua-"[dialogue_repair._CODES.index(c) // 4], names[dialogue_repair._CODES.index(c) % 4]) for c in codes]
+        assert dialogue_repair.solve(codes) == shortest(plain)
+
+
+def report_of(spark, rows):
+    df = spark.createDataFrame([r + PAD for r in rows], SCHEMA)
+    return [tuple(r) for r in dialogue_repair.report(df).collect()]
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_report_is_the_plain_one(spark, split):
+    """Once in few partitions, once in many, so that the long conversation lies in several and is joined again."""
+    rows = table()
+    options = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "23"} if split else {}
+    before = {k: spark.conf.get(k) for k in options}
+    for k, v in options.items():
+        spark.conf.set(k, v)
+    try:
+        got = report_of(spark, rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    kept = damaged(rows)
+    want = [repaired_plain(c, [r for r in kept if r[0] == c])[0] for c in {r[0] for r in rows}]
+    key = lambda r: (r[0] is None, r[0] or 0)
+    assert sorted(got, key=key) == sorted(want, key=key)
+    gone = next(r for r in got if r[0] == 60)
+    assert gone == (60, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+
+
+def test_repaired_rows_are_the_plain_ones(spark):
+    rows = [r for r in table() if r[2] is not None and r[3] is not None]
+    df = spark.createDataFrame([r + PAD for r in rows], SCHEMA)
+    found = dialogue_repair.repairs(df)
+    got: dict = {}
+    for r in dialogue_repair.repaired(df, found).collect():
+        got.setdefault(r["conv_id"], []).append((r["position"], r["role"], r["text"]))
+    for c in {r[0] for r in rows}:
+        out = repaired_plain(c, [r for r in rows if r[0] == c])[1]
+        assert sorted(got.get(c, [])) == [(i + 1, *r) for i, r in enumerate(out)]
+
+
+def test_repair_of_no_rows(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert dialogue_repair.report(empty).count() == 0
+    assert dialogue_repair.repairs(empty).count() == 0
