@@ -67,4 +67,25 @@ LEFT JOIN h ON c.conv_id IS NOT DISTINCT FROM h.conv_id LEFT JOIN best b ON c.co
 LEFT JOIN texts t ON c.conv_id IS NOT DISTINCT FROM t.conv_id"""
 
 
-ORACLES = {"op11_dialogue_repair": _repair()}
+_TRIE = f"""WITH {_CRC},
+t AS (SELECT conv_id, strlen(coalesce(text, '')) AS bytes, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS code,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, code) - 1 AS pos FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {_crc32("conv_id::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM t), crc),
+r AS (SELECT c.conv_id, pos, code, bytes FROM c JOIN t ON t.conv_id = c.base AND pos < h
+  UNION ALL SELECT c.conv_id, pos, code, bytes FROM c JOIN t ON t.conv_id = c.conv_id AND pos >= h),
+s AS (SELECT c.conv_id, coalesce(list(code ORDER BY pos) FILTER (code IS NOT NULL), []) AS codes,
+  list(bytes ORDER BY pos) FILTER (code IS NOT NULL) AS sizes FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id),
+p AS (SELECT conv_id, d AS depth, md5(array_to_string(codes[:d], ',')) AS key, CASE WHEN d > 0 THEN md5(array_to_string(codes[:d - 1], ',')) END AS above,
+  CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS bytes, d = len(codes) AS ends
+  FROM (SELECT *, unnest(range(len(codes) + 1)) AS d FROM s)),
+n AS (SELECT key, depth, above, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes,
+  string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends) AS ids FROM p GROUP BY key, depth, above),
+k AS (SELECT above AS key, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY above),
+u AS (SELECT a.key, a.depth, count(*) FILTER (k.key IS NULL) AS n_leaves, sum((x.n_convs - 1) * x.bytes)::BIGINT AS saved_tokens
+  FROM n x JOIN p a ON a.conv_id = x.conv_id AND a.depth <= x.depth LEFT JOIN k ON k.key = x.key GROUP BY a.key, a.depth)
+SELECT n.conv_id, n.depth, m.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, u.n_leaves, u.saved_tokens,
+  sha256(coalesce(n.ids, '')) AS ends_sha256
+FROM n JOIN u USING (key, depth) LEFT JOIN k ON k.key = n.key LEFT JOIN n m ON m.key = n.above AND m.depth = n.depth - 1"""
+
+
+ORACLES = {"op11_dialogue_repair": _repair(), "op12_prefix_trie": _TRIE}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievelake.llm import classifier, decontaminate, dialogue_repair, licenses, line_windows, minhash, mixing, quality_rules, repair, substring, warc
+from sievelake.llm import classifier, decontaminate, dialogue_repair, licenses, line_windows, minhash, mixing, prefix_trie, quality_rules, repair, substring, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +89,11 @@ def op11_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogue_repair.report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie.report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_license_scan": op2_license_scan,
@@ -101,4 +106,5 @@ QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_line_dedup": op10_line_dedup,
     "op11_dialogue_repair": op11_dialogue_repair,
+    "op12_prefix_trie": op12_prefix_trie,
 }

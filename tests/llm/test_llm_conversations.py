@@ -8,7 +8,7 @@ import zlib
 
 import pytest
 
-from sievelake.llm import dialogue_repair
+from sievelake.llm import dialogue_repair, prefix_trie
 
 SCHEMA = "conv_id long, turn long, role string, text string, code string, audit string, position long, kind string, n int"
 PAD = ("x", "x", 7, "x", 7)
@@ -156,3 +156,92 @@ def test_repair_of_no_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert dialogue_repair.report(empty).count() == 0
     assert dialogue_repair.repairs(empty).count() == 0
+
+
+# ---- trie
+
+
+def rebuilt_plain(rows):
+    by_conv = {}
+    for conv_id, turn, role, text in rows:
+        if conv_id is not None:
+            by_conv.setdefault(conv_id, []).append((conv_id, turn, role or "", text or ""))
+    own = {c: [r[2:] for r in ordered(many)] for c, many in by_conv.items()}
+    out = {}
+    for c in own:
+        base = c - (c % 5 if c >= 0 else -(-c % 5))
+        h = zlib.crc32(str(c).encode()) % 9
+        out[c] = own.get(base, [])[:h] + own[c][h:]
+    return out
+
+
+def trie_plain(rebuilt):
+    members, ends = {}, {}
+    for c, turns in rebuilt.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+        ends.setdefault(tuple(turns), []).append(c)
+    below = {}
+    for prefix in members:
+        below.setdefault(prefix[:-1] if prefix else None, []).append(prefix)
+    total = {}
+    for prefix in sorted(members, key=len, reverse=True):
+        kids = below.get(prefix, []) if prefix else [k for k in below.get((), []) if k]
+        saved = (len(members[prefix]) - 1) * len(prefix[-1][1].encode()) if prefix else 0
+        total[prefix] = (len(kids), sum(total[k][1] for k in kids) or 1, saved + sum(total[k][2] for k in kids))
+    out = []
+    for prefix, own in members.items():
+        sha = hashlib.sha256(",".join(map(str, sorted(ends.get(prefix, [])))).encode()).hexdigest()
+        parent = min(members[prefix[:-1]]) if prefix else None
+        out.append((min(own), len(prefix), parent, len(own), *total[prefix], sha))
+    return sorted(out, key=str)
+
+
+def sequences_of(spark, rebuilt):
+    def code(role, text):
+        return hashlib.md5(f"{len(role)}:{role}{text}".encode()).digest() + len(text.encode()).to_bytes(4, "big")
+
+    rows = [(c, bytearray(b"".join(code(*t) for t in turns))) for c, turns in rebuilt.items()]
+    return spark.createDataFrame(rows, "conv_id long, seq binary")
+
+
+def test_trie_of_rebuilt_conversations_is_the_plain_one(spark):
+    rows = table()
+    got = prefix_trie.report(spark.createDataFrame([r + PAD for r in rows], SCHEMA))
+    assert got.columns == ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == trie_plain(rebuilt_plain(rows))
+    assert prefix_trie.report(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("shard_turns,fan,partitions", [(200_000, 16, 1), (1, 2, 1), (40, 2, 19), (7, 3, 64)])
+def test_trie_does_not_depend_on_shards(spark, shard_turns, fan, partitions):
+    """A conversation and a beginning that hold a third of all rows each, and long chains, cut into shards at all places."""
+    rng = random.Random(partitions)
+    pool = [("user", f"say {i}") for i in range(6)] + [("assistant", "é" * i) for i in range(5)]
+    rebuilt = {}
+    for c in range(300):
+        kind = c % 3
+        tail = [rng.choice(pool) for _ in range(rng.randint(0, 6))]
+        rebuilt[c * 7 - 90] = [pool[0], pool[7], pool[1]] if kind == 0 else [pool[0], pool[7], *tail] if kind == 1 else tail
+    rebuilt[5000] = [pool[0]] * 150
+    rebuilt[5001] = [pool[0]] * 150 + [pool[1]]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        got = prefix_trie.prefix_trie(sequences_of(spark, rebuilt), shard_turns, fan).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((tuple(r) for r in got), key=str) == trie_plain(rebuilt)
+
+
+def test_median_insertion_balances_the_tree():
+    tree = prefix_trie.TernaryTree()
+    tree.insert_medians([[i] for i in range(1023)])
+
+    def height(node):
+        return 0 if node < 0 else 1 + max(height(tree.low[node]), height(tree.high[node]))
+
+    assert height(tree.equal[0]) == 10
+    assert len(tree.preorder()) == 1024
