@@ -155,6 +155,19 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b F
 SELECT s.doc_id, s.n::BIGINT AS n_shingles, min(r.b) AS component_id, s.doc_id = min(r.b) AS kept
 FROM sizes s JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.n"""
 
+_NGRAMS = rf"""WITH RECURSIVE words AS MATERIALIZED (SELECT doc_id,
+  coalesce(regexp_extract_all({_LOWER.format("text")}, {_INK}), []) AS w FROM documents),
+shingles AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM words),
+sizes AS MATERIALIZED (SELECT w.doc_id, count(s.s) AS n FROM words w LEFT JOIN shingles s USING (doc_id) GROUP BY w.doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)),
+edges AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a)
+SELECT s.doc_id, s.n::BIGINT AS n_shingles, min(r.b) AS component_id
+FROM sizes s JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.n"""
+
 _WARC = """WITH records AS (SELECT page_id, coalesce(html, '') AS p, sha1(coalesce(html, '')) AS sha FROM pages),
 first AS (SELECT p, min(page_id) AS id FROM records GROUP BY p)
 SELECT page_id, octet_length(encode(p)) AS payload_bytes,
@@ -200,4 +213,5 @@ ORACLES = {
     "op7_warc_bundles": _WARC,
     "op10_line_dedup": _LINES,
     **oracle_conversations.ORACLES,
+    "op13_ngram_join": _NGRAMS,
 }

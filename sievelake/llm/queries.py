@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievelake.llm import classifier, decontaminate, dialogue_repair, licenses, line_windows, minhash, mixing, prefix_trie, quality_rules, repair, substring, warc
+from sievelake.llm import classifier, decontaminate, dialogue_repair, licenses, line_windows, minhash, mixing, ngram_join, prefix_trie, quality_rules, repair, substring, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +94,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_documents(spark, sf_dir), shingle=4, percent=(85, 100))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_license_scan": op2_license_scan,
@@ -107,4 +111,5 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_dialogue_repair": op11_dialogue_repair,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_ngram_join": op13_ngram_join,
 }

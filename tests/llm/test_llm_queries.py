@@ -18,7 +18,7 @@ def connection():
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 13))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(QUERIES) - set(ORACLES) == {"op4_decontamination", "op8_token_files", "op9_quality_classifier"}
 
 
