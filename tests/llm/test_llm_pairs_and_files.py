@@ -248,7 +248,7 @@ def plain_ids(many):
     return [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for t in many]
 
 
-ODD = ["don't STOP…. l'été.", "<|endoftext|> A.b<|ENDOFTEXT|>,c", "İstanbul ΣΑΣ. ȩ́!? x̸y", "12,345.6\ta\x0bb\x1c　c\r\nd", "<|startoftext|>a.b", "ﬁ K Å."]
+ODD = ["don't STOP…. l'été.", "<|endoftext|> A.b<|ENDOFTEXT|>,c", "İstanbul ΣΑΣ. ȩ́!? x̸y", "12,345.6\ta\x0bb\x1c　c\r\nd", "<|startoftext|>a.b", "ﬁ K Å.", "YENİ, ESKİ.", "T̈ H̱ %"]
 
 
 @pytest.mark.parametrize("by_word", [True, False])
@@ -268,6 +268,20 @@ def test_token_files_hold_the_ids_of_the_library(spark, by_word):
     assert repair.round_trip(empty_docs(spark), tokenizer_path(), by_word).count() == 0
 
 
+def test_texts_are_cut_only_where_the_library_keeps_letters_and_marks_apart():
+    import pyarrow as pa
+
+    by_word = tokens.Encoder(tokenizer_path(), True)
+    assert "İ" in tokens.LETTERS and "İ" not in by_word.cut and "é" in by_word.cut
+    every = [f"{begin}{letter}{mark}" for begin in ("", "x", "Ä") for letter in tokens.LETTERS for mark in tokens.MARKS]
+    rng = random.Random(6)
+    pool = tokens.LETTERS + list("0129'\"-()<>;:@_") + list("\u0301\u0308\u0331\u030aßſµª一\u200d \t\r") + ["İ", " ", "\n"] * 20 + list(tokens.MARKS) * 12
+    every += ["".join(rng.choice(pool) for _ in range(rng.randint(1, 30))) for _ in range(6000)]
+    ids, counts = by_word.encode(pa.array(every), 1)
+    want = plain_ids(every)
+    assert list(counts) == list(map(len, want)) and list(ids) == [i for w in want for i in w]
+
+
 def test_a_forgetful_encoder_gives_the_same_ids(monkeypatch):
     import pyarrow as pa
 
@@ -299,6 +313,43 @@ def test_grammar_decodes_any_part_and_shortens():
         repair.Shard(b"something else")
 
 
+def grammar_plain(ids, counts, vocabulary, pairs, least):
+    """All pairs counted anew every turn, in plain Python."""
+    docs, at, rules = [], 0, []
+    for n in counts:
+        docs.append([int(x) for x in ids[at : at + n]])
+        at += n
+    while True:
+        seen = Counter(p for d in docs for p in zip(d, d[1:]))
+        chosen = sorted(sorted((p for p, n in seen.items() if n >= least), key=lambda p: (-seen[p], p))[:pairs])
+        if not chosen:
+            return docs, rules
+        places = [(i, j) for i, d in enumerate(docs) for j in range(len(d) - 1) if (d[j], d[j + 1]) in set(chosen)]
+        taken = set()
+        for i, j in places:
+            if (i, j - 1) not in taken:
+                taken.add((i, j))
+        used = [p for p in chosen if any((docs[i][j], docs[i][j + 1]) == p for i, j in taken)]
+        number = {p: vocabulary + len(rules) + k for k, p in enumerate(used)}
+        rules += used
+        docs = [
+            [number[d[j], d[j + 1]] if (i, j) in taken else x for j, x in enumerate(d) if (i, j - 1) not in taken]
+            for i, d in enumerate(docs)
+        ]
+
+
+def test_grammar_is_that_of_counting_all_pairs_anew():
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        counts = rng.integers(1, 40, rng.integers(1, 12))
+        ids = rng.integers(0, rng.integers(2, 9), counts.sum()).astype(np.uint32)
+        pairs, least = int(rng.integers(1, 5)), int(rng.integers(2, 5))
+        symbols, each, rules, _ = repair.compress(ids, counts, 20, pairs, least)
+        docs, wanted = grammar_plain(ids, counts, 20, pairs, least)
+        assert [list(map(int, r)) for r in rules] == [list(r) for r in wanted]
+        assert symbols.tolist() == [x for d in docs for x in d] and each.tolist() == list(map(len, docs))
+
+
 @pytest.mark.parametrize("pairs", [8, repair.PAIRS])
 def test_grammar_goes_on_until_no_pair_is_frequent(pairs):
     rng = np.random.default_rng(5)
