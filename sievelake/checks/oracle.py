@@ -131,6 +131,31 @@ def _series(processing: str, published: str, partition: str, replaced: str = "FA
           valid_records + warning_records AS athena_records, CAST(0 AS BIGINT) AS difference FROM s"""
 
 
+_SPOILED = "(year = 1998 AND month = 10)"
+_REFUSED = "(year = 1995 AND month = 5)", "(year = 1996 AND month = 6)", _SPOILED, "(year = 1997 AND month = 8)"
+
+
+def _series_with_failures() -> str:
+    broken, text, spoiled, absent = _REFUSED
+    failed = " OR ".join(_REFUSED)
+
+    def unless(value: str) -> str:
+        return f"CASE WHEN NOT failed THEN {value} END"
+
+    return f"""{_WITH}, s AS (SELECT batch_id, year, month, ({failed}) AS failed, {_COUNTS} FROM c GROUP BY batch_id, year, month)
+        SELECT batch_id, CASE WHEN failed THEN 'FAILED' ELSE 'SUCCESS' END AS status, {unless("'SUCCESS'")} AS processing_status,
+          CASE WHEN failed THEN 'FAILED' ELSE 'SUCCESS' END AS s3_publish_status,
+          CASE WHEN failed THEN 'FAILED' ELSE 'CREATED' END AS glue_partition_status,
+          CASE WHEN failed THEN 'NOT_RUN' ELSE 'MATCH' END AS reconciliation_status,
+          {unless("total_records")} AS rows_read, {unless("valid_records")} AS valid_records,
+          {unless("warning_records")} AS warning_records, {unless("quarantined_records")} AS quarantined_records,
+          {unless("valid_records + warning_records")} AS expected_records,
+          {unless("valid_records + warning_records")} AS athena_records, {unless("CAST(0 AS BIGINT)")} AS difference,
+          CASE WHEN {absent} THEN 'FileNotFoundError' WHEN failed THEN 'ValueError' END AS error_type,
+          CASE WHEN {broken} THEN 'missing required columns' WHEN {text} THEN 'columns whose type does not fit the table''s'
+            WHEN {spoiled} THEN 'unreadable source' WHEN {absent} THEN 'no such input' END AS reason FROM s"""
+
+
 _CLASSIFIED = f"{_KEYS}, quarantine_reasons, warning_reasons, validation_status"
 
 ORACLES: dict[str, str] = {
@@ -205,6 +230,17 @@ ORACLES: dict[str, str] = {
         CASE WHEN month IN (1, 2, 3) THEN 'CREATED' ELSE 'EXISTS' END AS partition_status, TRUE AS correct,
         COUNT(*) FILTER (WHERE validation_status <> 'QUARANTINE') OVER (PARTITION BY year, month)
           AS published_records FROM c""",
+    "schema_drift": f"""{_WITH} SELECT DISTINCT batch_id,
+        CASE WHEN {_REFUSED[0]} THEN 'PULocationID' ELSE '' END AS missing,
+        CASE WHEN month IN (1, 7) THEN 'cbd_congestion_fee' WHEN {_REFUSED[0]} THEN 'tolls_amount' ELSE '' END AS absent,
+        CASE WHEN month = 4 THEN 'driver_note' ELSE '' END AS added,
+        CASE WHEN month = 2 THEN 'airport_fee' ELSE '' END AS respelled,
+        CASE WHEN {_SPOILED} THEN '' ELSE 'dropoff_datetime TIMESTAMP_NTZ, ' || CASE WHEN month = 3 THEN 'passenger_count INT, '
+          ELSE '' END || 'pickup_datetime TIMESTAMP_NTZ' END AS widened,
+        CASE WHEN {_REFUSED[1]} THEN 'trip_distance STRING' ELSE '' END AS unfit, '' AS doubled,
+        CASE WHEN {_SPOILED} THEN 'ArrowInvalid' ELSE '' END AS unreadable,
+        NOT ({" OR ".join(_REFUSED[:3])}) AS accepted FROM c""",
+    "series_with_failures": _series_with_failures(),
     "series_first_run": _series("SUCCESS", "SUCCESS", "CREATED"),
     "series_rerun": _series("SKIPPED_ALREADY_PROCESSED", "EXISTS", "EXISTS"),
     "series_changed_source": _series("SKIPPED_ALREADY_PROCESSED", "EXISTS", "EXISTS", "year = 1995 AND month = 3"),

@@ -63,6 +63,10 @@ def latest_counts(ledger: DataFrame, trust_processing_status: bool = False) -> D
     )
 
 
+def no_counts(batch_id: str) -> RuntimeError:
+    return RuntimeError(f"{batch_id}: no run in the ledger holds its counts")
+
+
 def worth_recording(publish_status: Column, partition_status: Column, reconciliation: Column) -> Column:
     """Does a rerun of a processed batch leave a ledger record? A rerun that changed nothing does not."""
     changed = (publish_status == "BACKFILLED") | (partition_status == "CREATED")

@@ -27,7 +27,20 @@ def classified_batches(
     ingested_at: str | None = None,
 ) -> DataFrame:
     """Rows of many batches with reasons, status and lineage; `year` and `month` name the batch."""
-    checked = classify(normalize(trips, profile, cast), profile)
+    normal = normalize(trips, profile, cast)
+    return classified_normal(normal, dataset, source_prefix, schema_version, profile, ingested_at)
+
+
+def classified_normal(
+    normal: DataFrame,
+    dataset: str,
+    source_prefix: str,
+    schema_version: str = "1.0",
+    profile: Profile = TRIPS,
+    ingested_at: str | None = None,
+) -> DataFrame:
+    """The same from rows whose columns have their canonical names."""
+    checked = classify(normal, profile)
     stamped = stamp_batches(checked, dataset, source_prefix, schema_version, ingested_at)
     batch = [F.col(name).cast("int").alias(name) for name in ("year", "month")]
     return stamped.select(*[c for c in stamped.columns if c not in ("year", "month")], *batch)

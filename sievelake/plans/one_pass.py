@@ -2,14 +2,16 @@
 
 The number of Spark jobs does not grow with the number of batches: sources are hashed by one job, the
 ledger and the raw manifest are read once, what is new is written by the same few jobs, and one append
-records all runs. Rare cases alone are handled batch by batch: publications to be restored, and
-sources without a row.
+records all runs. Files are looked at by their footers beforehand and read in groups of one schema each. Rare cases alone are handled
+batch by batch: publications to be restored, sources without a row, and the search for batches that made a job fail.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -19,17 +21,22 @@ from pyspark.sql import functions as F
 from sievelake.batch import Batch
 from sievelake.operators import ledger as ledgers
 from sievelake.operators.classify import utc_now
+from sievelake.operators.drift import refusal, schema_drift
 from sievelake.operators.ledger import COUNTS, KEY
 from sievelake.operators.reconcile import partition_counts
+from sievelake.operators.schema import normalize
 from sievelake.plans import series
-from sievelake.plans.load import classified_batches, of_batches
+from sievelake.plans.load import classified_normal, of_batches
 from sievelake.plans.series import Site
 from sievelake.sinks import catalog, files, publish
 from sievelake.sinks.outputs import write_batches, write_periods
 from sievelake.sources.ledger import append_records, read_ledger
 from sievelake.sources.manifest import source_checksums
+from sievelake.sources.schemas import file_columns, file_schemas, parse, wider
 from sievelake.sources.small import small_frame
 
+EMPTY_CHECKSUM = hashlib.sha256(b"").hexdigest()
+
 
 def read_batches(spark: SparkSession, paths: Iterable[str], source_prefix: str) -> DataFrame:
     """Rows of many raw files or folders; `year` and `month` come from the name, as files do not hold them."""
@@ -46,11 +53,20 @@ def read_batches(spark: SparkSession, paths: Iterable[str], source_prefix: str)
     )
 
 
+class SeriesFailed(RuntimeError):
+    """Batches of a series failed; all runs are recorded. `errors` holds each failed batch's own error."""
+
+    def __init__(self, errors: dict[Batch, Exception]):
+        super().__init__("; ".join(f"{batch.batch_id}: {error}" for batch, error in errors.items()))
+        self.errors = errors
+
+
 def run_all(spark: SparkSession, batches: Iterable[Batch], site: Site) -> list[dict[str, Any]]:
     """Bring all batches to their final state and return their run records, in order.
 
-    `site` needs a lake. All runs are recorded before an error names the batches that failed: those
-    whose counts do not agree and those whose source was replaced while it was read.
+    `site` needs a lake. A batch that fails (its source is missing, unreadable, without a required column, of a type the
+    table cannot hold or replaced while it is read, its rows cannot be processed, its counts do not agree) keeps no
+    other from being finished. All runs are recorded before an error is raised: the batch's own, or `SeriesFailed` for several.
     """
     if site.lake is None:
         raise ValueError("a series in one pass publishes: it needs a lake")
@@ -59,43 +75,87 @@ def run_all(spark: SparkSession, batches: Iterable[Batch], site: Site) -> list[d
         raise ValueError("a series in one pass holds one dataset")
     if not batches:
         return []
-    records = {batch: _started(batch, site) for batch in batches}
-    missing = [site.source(b) for b, there in zip(batches, _exist(spark, batches, site)) if not there]
-    if missing:
-        raise FileNotFoundError(f"no such input: {', '.join(missing)}")
-    facts = _facts(spark, batches, site)
-    checksums = source_checksums(spark, {site.source(batch) for batch in batches})
-    for batch in batches:
-        records[batch]["source_checksum"] = checksums[site.source(batch)]
+    run = _Run(spark, site, batches)
+    run.attempt(_all_steps, batches)
+    failed = _finish(run)
+    append_records(spark, site.ledger, [r for r in run.records.values() if r.pop("_recorded")])
+    if len(failed) == 1:
+        raise next(iter(failed.values()))
+    if failed:
+        raise SeriesFailed(failed)
+    return list(run.records.values())
+
+
+class _Run:
+    """Records and errors of a series under way."""
+
+    def __init__(self, spark: SparkSession, site: Site, batches: list[Batch]):
+        self.spark, self.site, self.batches = spark, site, batches
+        self.records = {batch: _started(batch, site) for batch in batches}
+        self.errors: dict[Batch, Exception] = {}
+        self.old: list[Batch] = []
+
+    def left(self, batches: Iterable[Batch] | None = None) -> list[Batch]:
+        """Those of `batches` (or of all) that have not failed."""
+        return [batch for batch in (self.batches if batches is None else batches) if batch not in self.errors]
+
+    def fail(self, batch: Batch, error: Exception) -> None:
+        self.errors.setdefault(batch, error)
+
+    def attempt(self, step, batches: Iterable[Batch]) -> None:
+        """A step for all batches at once; if it fails, those left share its error."""
+        asked = self.left(batches)
+        if asked:
+            try:
+                step(self, asked)
+            except Exception as error:
+                for batch in self.left(asked):
+                    self.fail(batch, error)
+
+
+def _all_steps(run: _Run, batches: list[Batch]) -> None:
+    spark, site, records = run.spark, run.site, run.records
+    for batch, there in zip(batches, _exist(spark, batches, site)):
+        if not there:
+            run.fail(batch, FileNotFoundError(f"no such input: {site.source(batch)}"))
+    facts = _facts(spark, run.left(), site)
+    checksums = source_checksums(spark, {site.source(batch) for batch in run.left()})
+    for batch in run.left():
+        # an empty folder has no file to hash
+        records[batch]["source_checksum"] = checksums.get(site.source(batch)) or EMPTY_CHECKSUM
 
     ledger = read_ledger(spark, site.ledger)
     keys = small_frame(
-        spark, [(b.batch_id, records[b]["source_checksum"]) for b in batches], "batch_id STRING, source_checksum STRING"
+        spark,
+        [(b.batch_id, records[b]["source_checksum"]) for b in run.left()],
+        "batch_id STRING, source_checksum STRING",
     )
     counted = ledgers.latest_counts(ledger, site.trust_processing_status)
     done = {
         row["batch_id"]: row
         for row in ledgers.skipped(keys, ledger, site.trust_processing_status).join(counted, KEY, "left").collect()
     }
-    new = [batch for batch in batches if batch.batch_id not in done]
-    old = [batch for batch in batches if batch.batch_id in done]
-
-    _write_new(spark, new, site, records)
-    changed = set(_changed(spark, new, site, facts))
-    _resume_old(spark, old, site, records, done)
-    fresh = [b for b in batches if records[b]["s3_publish_status"] in ("SUCCESS", "BACKFILLED") and b not in changed]
-    _publish_manifests(spark, fresh, site, records)
-    for batch, counts in zip(fresh, files.for_each(publish.publication_summary, [(spark, site.lake, b) for b in fresh])):
+    new = [batch for batch in run.left() if batch.batch_id not in done]
+    run.old = [batch for batch in run.left() if batch.batch_id in done]
+
+    run.attempt(lambda run, some: _write_new(run, some, facts), new)
+    for batch in _changed(spark, run.left(new), site, facts):
+        records[batch]["processing_status"] = records[batch]["s3_publish_status"] = "FAILED"
+        run.fail(batch, RuntimeError(f"source of {batch.batch_id} was replaced while it was read"))
+    run.attempt(lambda _, some: _resume_old(spark, some, site, records, done), run.old)
+    fresh = [b for b in run.left() if records[b]["s3_publish_status"] in ("SUCCESS", "BACKFILLED")]
+    run.attempt(_publish, fresh)
+    run.attempt(lambda _, some: _register(spark, some, site, records), run.batches)
+    run.attempt(_reconcile, run.batches)
+
+
+def _publish(run: _Run, batches: list[Batch]) -> None:
+    spark, site, records = run.spark, run.site, run.records
+    _publish_manifests(spark, batches, site, records)
+    summaries = files.for_each(publish.publication_summary, [(spark, site.lake, b) for b in batches])
+    for batch, counts in zip(batches, summaries):
         for name in ("curated_object_count", "quarantine_object_count", "quality_object_count"):
             records[batch][f"s3_{name}"] = counts[name]
-    _register(spark, [b for b in batches if b not in changed], site, records)
-    _reconcile(spark, [b for b in batches if b not in changed], site, records)
-
-    failed = _finish(records, changed, old)
-    append_records(spark, site.ledger, [r for r in records.values() if r.pop("_recorded")])
-    if failed:
-        raise RuntimeError("; ".join(failed))
-    return list(records.values())
 
 
 def _started(batch: Batch, site: Site) -> dict[str, Any]:
@@ -108,8 +168,8 @@ def _started(batch: Batch, site: Site) -> dict[str, Any]:
         "source_path": site.source(batch),
         "schema_version": batch.schema_version,
         "started_at": utc_now(),
-        "reconciliation_status": "DISABLED",
-        "glue_partition_status": "DISABLED",
+        "status": "STARTED",
+        "reconciliation_status": "NOT_RUN",
         "s3_publish_enabled": True,
         "s3_bucket": site.lake.root,
         "glue_registration_enabled": site.registers,
@@ -132,18 +192,91 @@ def _changed(spark: SparkSession, batches: list[Batch], site: Site, before: dict
     return [batch for batch in batches if after[batch] != before[batch]]
 
 
-def _write_new(spark: SparkSession, new: list[Batch], site: Site, records: dict[Batch, dict]) -> None:
-    if not new:
-        return
+class _Sources:
+    """New sources as their footers show them: what is refused, and which files are read together."""
+
+    def __init__(self, spark: SparkSession, batches: list[Batch], site: Site, facts: dict[Batch, list]):
+        self.spark, self.site = spark, site
+        columns = file_columns(spark, [(b.batch_id, path) for b in batches for path, _, _ in facts[b]]).persist()
+        try:
+            self.report = {row["batch_id"]: row for row in schema_drift(columns, site.profile, site.cast).collect()}
+            schemas = file_schemas(columns).persist()
+            least, most = F.min("schema"), F.max("schema")
+            whole = schemas.groupBy("batch_id").agg(least.alias("schema"), (least != most).alias("mixed")).collect()
+            self.schema = {row["batch_id"]: row["schema"] for row in whole if not row["mixed"]}
+            mixed = [row["batch_id"] for row in whole if row["mixed"]]
+            # files of one batch that differ are read apart; all others by their batch's path
+            apart = schemas.where(F.col("batch_id").isin(mixed)).collect() if mixed else []
+            self.files: dict[str, list[tuple[str, str]]] = {}
+            for row in apart:
+                self.files.setdefault(row["batch_id"], []).append((row["schema"], row["path"]))
+            schemas.unpersist()
+        finally:
+            columns.unpersist()
+
+    def refusal(self, batch: Batch) -> str | None:
+        row = self.report.get(batch.batch_id)
+        if row is None:
+            return f"no file in {self.site.source(batch)}"
+        return None if row["accepted"] else refusal(row)
+
+    def normal(self, batches: list[Batch]) -> DataFrame:
+        """Rows under canonical names: one scan for each distinct schema, united by name.
+
+        A column that some files lack is null for their rows. Where types differ, all take the least that holds them,
+        or the table's with `cast`; what is unknown to the profile and has no such type becomes text.
+        """
+        groups: dict[str, list[str]] = {}
+        for batch in batches:
+            if batch.batch_id in self.schema:
+                groups.setdefault(self.schema[batch.batch_id], []).append(self.site.source(batch))
+            for schema, path in self.files.get(batch.batch_id, []):
+                groups.setdefault(schema, []).append(path)
+        profile, kinds = self.site.profile, {}
+        for schema in groups:
+            for name, kind in parse(schema).items():
+                kinds.setdefault(profile.renames.get(name, name).lower(), set()).add(kind)
+        common = {name: reduce(lambda a, b: a and wider(a, b), sorted(found)) or "STRING" for name, found in kinds.items() if len(found) > 1}
+        declared = dict(profile.columns) if self.site.cast else {}
+        frames = []
+        for paths in groups.values():
+            rows = normalize(read_batches(self.spark, paths, batches[0].source_prefix), profile, self.site.cast)
+            united = [F.col(f"`{c}`").cast(common[c.lower()]).alias(c) if c.lower() in common and c not in declared else F.col(f"`{c}`") for c in rows.columns]
+            frames.append(rows.select(*united))
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def _write_new(run: _Run, new: list[Batch], facts: dict[Batch, list]) -> None:
+    """Transform and write new batches together.
+
+    Sources are looked at first, and what cannot be processed is refused by name. If the common job fails nevertheless, it
+    is traced to its batches by halving, and the others are written by one more job.
+    """
+    spark, site, records = run.spark, run.site, run.records
+    sources = _Sources(spark, new, site, facts)
+    for batch in new:
+        if reason := sources.refusal(batch):
+            run.fail(batch, ValueError(reason))
     some, now = new[0], utc_now()
-    trips = read_batches(spark, [site.source(batch) for batch in new], some.source_prefix)
-    rows = classified_batches(
-        trips, some.dataset, some.source_prefix, some.schema_version, site.profile, site.cast, now
-    )
-    # A raw file belongs to one month: rows lie together already and are not shuffled.
-    written = write_batches(rows, site.lake, some.dataset, clustered=True)
+
+    def rows(batches: list[Batch]) -> DataFrame:
+        return classified_normal(sources.normal(batches), some.dataset, some.source_prefix, some.schema_version, site.profile, now)
+
+    def write(batches: list[Batch]) -> list[dict[str, Any]]:
+        # A raw file belongs to one month: rows lie together already and are not shuffled.
+        return write_batches(rows(batches), site.lake, some.dataset, clustered=True) if batches else []
+
+    try:
+        written = write(run.left(new))
+    except Exception:
+        culprits = _culprits(rows, run.left(new))
+        if not culprits:
+            raise
+        for batch, error in culprits.items():
+            run.fail(batch, error)
+        written = write(run.left(new))
     counts = {(row["year"], row["month"]): row for row in written}
-    for batch in new:
+    for batch in run.left(new):
         records[batch].update(ingested_at=now, processing_status="SUCCESS", s3_publish_status="SUCCESS")
         row = counts.get((batch.year, batch.month))
         if row is None:  # a source without a row has outputs without a row
@@ -153,11 +286,21 @@ def _write_new(spark: SparkSession, new: list[Batch], site: Site, records: dict[
             records[batch].update(rows_read=sum(kept.values()), **kept)
 
 
+def _culprits(rows: Callable[[list[Batch]], DataFrame], batches: list[Batch]) -> dict[Batch, Exception]:
+    """Batches whose rows cannot be read and checked, with their errors: of n batches k bad ones take some 2 k log n jobs."""
+    try:
+        rows(batches).write.format("noop").mode("overwrite").save()
+    except Exception as error:
+        if len(batches) == 1:
+            return {batches[0]: error}
+        half = len(batches) // 2
+        return _culprits(rows, batches[:half]) | _culprits(rows, batches[half:])
+    return {}
+
+
 def _resume_old(
     spark: SparkSession, old: list[Batch], site: Site, records: dict[Batch, dict], done: dict[str, Any]
 ) -> None:
-    if not old:
-        return
     state = publish.published_batches(spark, site.lake, [(b, records[b]["source_checksum"]) for b in old])
     published = {row["batch_id"] for row in state.where("published").select("batch_id").collect()}
     for batch in old:
@@ -172,8 +315,6 @@ def _resume_old(
 
 
 def _publish_manifests(spark: SparkSession, batches: list[Batch], site: Site, records: dict[Batch, dict]) -> None:
-    if not batches:
-        return
     rows = [
         (
             b.period, b.dataset, b.period, b.source_file, files.qualified(spark, site.source(b)),
@@ -186,21 +327,26 @@ def _publish_manifests(spark: SparkSession, batches: list[Batch], site: Site, re
 
 
 def _register(spark: SparkSession, batches: list[Batch], site: Site, records: dict[Batch, dict]) -> None:
-    if site.registers and batches:
-        for batch, created in catalog.register_partitions(spark, site.table, site.lake, batches).items():
-            records[batch]["glue_partition_status"] = catalog.partition_status(created)
+    created = catalog.register_partitions(spark, site.table, site.lake, batches) if site.registers else {}
+    for batch in batches:
+        records[batch]["glue_partition_status"] = catalog.partition_status(created.get(batch))
 
 
-def _reconcile(spark: SparkSession, batches: list[Batch], site: Site, records: dict[Batch, dict]) -> None:
+def _reconcile(run: _Run, batches: list[Batch]) -> None:
     """One count of all the batches' partitions, from footers, against the processed counts."""
-    if not site.reconciles or not batches:
+    site, records = run.site, run.records
+    if not site.reconciles:
+        for batch in batches:
+            records[batch]["reconciliation_status"] = "DISABLED"
         return
-    found = partition_counts(spark.table(site.table).where(of_batches(batches))).collect()
+    for batch in batches:
+        records[batch]["reconciliation_status"] = "FAILED"  # until it is known better
+    found = partition_counts(run.spark.table(site.table).where(of_batches(batches))).collect()
     counts = {(row["year"], row["month"]): row["published_records"] for row in found}
     for batch in batches:
         record = records[batch]
         if record.get("valid_records") is None or record.get("warning_records") is None:
-            record["reconciliation_status"] = "FAILED"
+            run.fail(batch, ledgers.no_counts(batch.batch_id))
             continue
         expected = record["valid_records"] + record["warning_records"]
         there = counts.get((batch.year, batch.month), 0)
@@ -212,32 +358,24 @@ def _reconcile(spark: SparkSession, batches: list[Batch], site: Site, records: d
             difference=there - expected,
             reconciliation_status="MATCH" if there == expected else "MISMATCH",
         )
+        if there != expected:
+            said = f"reconciliation MISMATCH for {batch.batch_id}: expected {expected}, found {there}"
+            run.fail(batch, RuntimeError(said))
 
 
-def _finish(records: dict[Batch, dict], changed: set[Batch], old: list[Batch]) -> list[str]:
-    """Final status of every record, whether it is to be recorded, and what went wrong, batch by batch."""
-    failed = []
-    for batch, record in records.items():
-        error = None
-        if batch in changed:
-            record["processing_status"] = record["s3_publish_status"] = "FAILED"
-            error = f"source of {batch.batch_id} was replaced while it was read"
-        elif record["reconciliation_status"] == "MISMATCH":
-            error = (
-                f"reconciliation MISMATCH for {batch.batch_id}: "
-                f"expected {record['expected_records']}, found {record['athena_records']}"
-            )
-        elif record["reconciliation_status"] == "FAILED":
-            error = f"No processed counts in run ledger for {batch.batch_id}"
-        record["status"] = "FAILED" if error else "SUCCESS"
-        record["completed_at"] = utc_now()
+def _finish(run: _Run) -> dict[Batch, Exception]:
+    """Final status of every record, and whether it is to be recorded; the errors in order of the batches."""
+    for batch, record in run.records.items():
+        error = run.errors.get(batch)
+        record.update(status="FAILED" if error else "SUCCESS", completed_at=utc_now())
         if error:
-            record.update(error_type="RuntimeError", error_message=error)
-            failed.append(error)
+            record.update(error_type=type(error).__name__, error_message=str(error))
+            record.setdefault("s3_publish_status", "FAILED")
+            record.setdefault("glue_partition_status", "FAILED" if run.site.registers else "DISABLED")
         worth = (
             record["s3_publish_status"] == "BACKFILLED"
             or record["glue_partition_status"] == "CREATED"
             or record["reconciliation_status"] == "MATCH"
         )
-        record["_recorded"] = bool(error) or batch not in old or worth
-    return failed
+        record["_recorded"] = bool(error) or batch not in run.old or worth
+    return {batch: run.errors[batch] for batch in run.batches if batch in run.errors}

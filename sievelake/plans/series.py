@@ -126,7 +126,7 @@ def _recorded(spark: SparkSession, site: Site, record: dict[str, Any]) -> dict[s
     counts = ledgers.latest_counts(read_ledger(spark, site.ledger), site.trust_processing_status)
     found = counts.join(_key(spark, record), ledgers.KEY, "left_semi").first()
     if found is None:
-        raise RuntimeError(f"No processed counts in run ledger for {record['batch_id']}")
+        raise ledgers.no_counts(record["batch_id"])
     return {name: found[name] for name in (*COUNTS, "ingested_at") if found[name] is not None}
 
 

@@ -138,7 +138,11 @@ def write_periods(
     """One job for all periods, then one move per period to its plain `YYYY-MM` directory."""
     spark = df.sparkSession
     staged = f"{root}/_staged-{uuid.uuid4().hex}"
-    df.write.partitionBy(by).format(form).save(staged)
+    try:
+        df.write.partitionBy(by).format(form).save(staged)
+    except Exception:
+        files.remove(spark, staged)
+        raise
     moves = [(spark, f"{staged}/{by}={period}", f"{root}/{period}") for period in periods]
     files.for_each(_finish_period, moves)
     files.remove(spark, staged)  # kept if a move failed: it may hold the only copy

@@ -10,6 +10,9 @@ from sievelake.checks.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
+# Files and footers are read by Python functions in tasks.
+READ_IN_TASKS = {("source_manifest", "Pandas"), ("schema_drift", "Pandas")}
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 
@@ -30,7 +33,7 @@ def test_same_rows(spark, connection, name):
     df = QUERIES[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().toString()
     for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "Window"):
-        assert operator not in plan or (name, operator) == ("source_manifest", "Pandas"), operator
+        assert operator not in plan or (name, operator) in READ_IN_TASKS, operator
     types, rows = spark_rows(df)
     wanted_types, wanted_rows = duck_rows(connection, ORACLES[name])
     assert types == wanted_types

@@ -197,7 +197,7 @@ def test_missing_counts_fail_without_query(run, monkeypatch):
     append_records(run.spark, run.site.ledger, [record])
     monkeypatch.setattr(publish, "is_published", lambda *_: True)
     monkeypatch.setattr(series, "count_partition", lambda *_: pytest.fail("queried"))
-    with pytest.raises(RuntimeError, match="No processed counts"):
+    with pytest.raises(RuntimeError, match="holds its counts"):
         run()
     assert run.records()[-1]["reconciliation_status"] == "FAILED" and not run.transforms
 
