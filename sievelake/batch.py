@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from pathlib import PurePosixPath
 
 
+#: The partition column that keeps curated and quarantined rows of one write apart.
+ROW_KIND = "sievelake_row_kind"
+
+
 def _join(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts])
 
@@ -57,10 +61,19 @@ class Batch:
 class Lake:
     """The published layout under a root, which may be any Hadoop URI.
 
-    Partition values come from the batch and never from the rows in it.
+    Partition values come from the batch and never from the rows in it. In a `versioned` lake every run writes curated
+    partitions to folders of its own, and the table says which of them are read; `at` gives the layout of one run.
     """
 
     root: str
+    versioned: bool = False
+    version: str | None = None
+
+    def at(self, version: str | None) -> Lake:
+        return replace(self, version=version)
+
+    def versions_root(self, dataset: str) -> str:
+        return _join(self.curated_root(dataset), "_versions")
 
     def curated_root(self, dataset: str) -> str:
         return _join(self.root, "curated", dataset)
@@ -79,7 +92,8 @@ class Lake:
         return _join(self.root, "metrics", "pipeline_runs")
 
     def curated_prefix(self, batch: Batch) -> str:
-        return f"curated/{batch.dataset}/year={batch.year}/month={batch.month_string}"
+        run = f"_versions/{self.version}/{ROW_KIND}=curated/" if self.version else ""
+        return f"curated/{batch.dataset}/{run}year={batch.year}/month={batch.month_string}"
 
     def curated(self, batch: Batch) -> str:
         return _join(self.root, self.curated_prefix(batch))

@@ -361,7 +361,7 @@ def publication_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     current = _current_batches(spark, sf_dir)
     checksums = {row["batch_id"]: row["source_checksum"] for row in current.collect()}
     known = [
-        (b.dataset, b.period, b.source_file, b.source_file, checksums[b.batch_id]) for b in batches
+        (b.dataset, b.period, b.source_file, b.source_file, checksums[b.batch_id], None) for b in batches
     ]
     manifest = small_frame(spark, known, publish.MANIFEST_DDL)
     manifest.write.json(f"{lake.manifest_root(DATASET)}/all")

@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable, Iterable
+from dataclasses import replace
 from functools import reduce
 from typing import Any
 
@@ -73,6 +74,8 @@ def run_all(spark: SparkSession, batches: Iterable[Batch], site: Site) -> list[d
     batches = list(batches)
     if len({(b.dataset, b.source_prefix, b.schema_version) for b in batches}) > 1:
         raise ValueError("a series in one pass holds one dataset")
+    if site.lake.versioned and not site.registers:
+        raise ValueError("a versioned lake needs a table, which names the versions to be read")
     if not batches:
         return []
     run = _Run(spark, site, batches)
@@ -94,6 +97,12 @@ class _Run:
         self.records = {batch: _started(batch, site) for batch in batches}
         self.errors: dict[Batch, Exception] = {}
         self.old: list[Batch] = []
+        #: The layout in which each batch's outputs lie, in a versioned lake that of this run or of an earlier one.
+        self.lake = site.lake.at(uuid.uuid4().hex) if site.lake.versioned else site.lake
+        self.lakes = dict.fromkeys(batches, self.lake)
+
+    def at(self, batch: Batch) -> Site:
+        return replace(self.site, lake=self.lakes[batch])
 
     def left(self, batches: Iterable[Batch] | None = None) -> list[Batch]:
         """Those of `batches` (or of all) that have not failed."""
@@ -142,17 +151,17 @@ def _all_steps(run: _Run, batches: list[Batch]) -> None:
     for batch in _changed(spark, run.left(new), site, facts):
         records[batch]["processing_status"] = records[batch]["s3_publish_status"] = "FAILED"
         run.fail(batch, RuntimeError(f"source of {batch.batch_id} was replaced while it was read"))
-    run.attempt(lambda _, some: _resume_old(spark, some, site, records, done), run.old)
+    run.attempt(lambda run, some: _resume_old(run, some, done), run.old)
     fresh = [b for b in run.left() if records[b]["s3_publish_status"] in ("SUCCESS", "BACKFILLED")]
     run.attempt(_publish, fresh)
-    run.attempt(lambda _, some: _register(spark, some, site, records), run.batches)
+    run.attempt(_register, run.batches)
     run.attempt(_reconcile, run.batches)
 
 
 def _publish(run: _Run, batches: list[Batch]) -> None:
-    spark, site, records = run.spark, run.site, run.records
-    _publish_manifests(spark, batches, site, records)
-    summaries = files.for_each(publish.publication_summary, [(spark, site.lake, b) for b in batches])
+    spark, records = run.spark, run.records
+    _publish_manifests(run, batches)
+    summaries = files.for_each(publish.publication_summary, [(spark, run.lakes[b], b) for b in batches])
     for batch, counts in zip(batches, summaries):
         for name in ("curated_object_count", "quarantine_object_count", "quality_object_count"):
             records[batch][f"s3_{name}"] = counts[name]
@@ -264,7 +273,7 @@ def _write_new(run: _Run, new: list[Batch], facts: dict[Batch, list]) -> None:
 
     def write(batches: list[Batch]) -> list[dict[str, Any]]:
         # A raw file belongs to one month: rows lie together already and are not shuffled.
-        return write_batches(rows(batches), site.lake, some.dataset, clustered=True) if batches else []
+        return write_batches(rows(batches), run.lake, some.dataset, clustered=True) if batches else []
 
     try:
         written = write(run.left(new))
@@ -280,7 +289,7 @@ def _write_new(run: _Run, new: list[Batch], facts: dict[Batch, list]) -> None:
         records[batch].update(ingested_at=now, processing_status="SUCCESS", s3_publish_status="SUCCESS")
         row = counts.get((batch.year, batch.month))
         if row is None:  # a source without a row has outputs without a row
-            records[batch].update(series.transform(spark, batch, site, now))
+            records[batch].update(series.transform(spark, batch, run.at(batch), now))
         else:
             kept = {name: row[name] or 0 for name in COUNTS if name != "rows_read"}
             records[batch].update(rows_read=sum(kept.values()), **kept)
@@ -298,10 +307,11 @@ def _culprits(rows: Callable[[list[Batch]], DataFrame], batches: list[Batch]) ->
     return {}
 
 
-def _resume_old(
-    spark: SparkSession, old: list[Batch], site: Site, records: dict[Batch, dict], done: dict[str, Any]
-) -> None:
-    state = publish.published_batches(spark, site.lake, [(b, records[b]["source_checksum"]) for b in old])
+def _resume_old(run: _Run, old: list[Batch], done: dict[str, Any]) -> None:
+    spark, lake, records = run.spark, run.site.lake, run.records
+    for batch, place in publish.published_versions(spark, lake, old).items():
+        run.lakes[batch] = place if place.version or not lake.versioned else run.lake
+    state = publish.published_batches(spark, lake, [(b, records[b]["source_checksum"]) for b in old], run.lakes)
     published = {row["batch_id"] for row in state.where("published").select("batch_id").collect()}
     for batch in old:
         record, known = records[batch], done[batch.batch_id].asDict()
@@ -310,26 +320,30 @@ def _resume_old(
         if batch.batch_id in published:
             record["s3_publish_status"] = "EXISTS"
         else:
-            series.restore(spark, batch, site, record.get("ingested_at") or utc_now())
+            # never into a version that may be read
+            run.lakes[batch] = run.lake
+            series.restore(spark, batch, run.at(batch), record.get("ingested_at") or utc_now())
             record["s3_publish_status"] = "BACKFILLED"
 
 
-def _publish_manifests(spark: SparkSession, batches: list[Batch], site: Site, records: dict[Batch, dict]) -> None:
+def _publish_manifests(run: _Run, batches: list[Batch]) -> None:
     rows = [
         (
-            b.period, b.dataset, b.period, b.source_file, files.qualified(spark, site.source(b)),
-            records[b]["source_checksum"],
+            b.period, b.dataset, b.period, b.source_file, files.qualified(run.spark, run.site.source(b)),
+            run.records[b]["source_checksum"], run.lakes[b].version,
         )
         for b in batches
     ]
-    manifest = small_frame(spark, rows, f"of STRING, {publish.MANIFEST_DDL}").coalesce(1)
-    write_periods(manifest, site.lake.manifest_root(batches[0].dataset), [b.period for b in batches], "json", "of")
+    manifest = small_frame(run.spark, rows, f"of STRING, {publish.MANIFEST_DDL}").coalesce(1)
+    root = run.site.lake.manifest_root(batches[0].dataset)
+    write_periods(manifest, root, [b.period for b in batches], "json", "of")
 
 
-def _register(spark: SparkSession, batches: list[Batch], site: Site, records: dict[Batch, dict]) -> None:
-    created = catalog.register_partitions(spark, site.table, site.lake, batches) if site.registers else {}
+def _register(run: _Run, batches: list[Batch]) -> None:
+    site = run.site
+    created = catalog.register_partitions(run.spark, site.table, run.lakes, batches) if site.registers else {}
     for batch in batches:
-        records[batch]["glue_partition_status"] = catalog.partition_status(created.get(batch))
+        run.records[batch]["glue_partition_status"] = catalog.partition_status(created.get(batch))
 
 
 def _reconcile(run: _Run, batches: list[Batch]) -> None:

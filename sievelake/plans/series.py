@@ -63,8 +63,10 @@ def process_batch(
     """Bring one batch to its final state and return its run record.
 
     A failure is recorded before it is raised. A rerun that changed nothing
-    returns its record without adding it to the ledger.
+    returns its record without adding it to the ledger. Versioned lakes are written by `one_pass.run_all` alone.
     """
+    if site.lake is not None and site.lake.versioned:
+        raise ValueError("a versioned lake is written by a series in one pass")
     record: dict[str, Any] = {
         "run_id": str(uuid.uuid4()),
         "batch_id": batch.batch_id,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import SparkSession
 
@@ -35,6 +35,14 @@ def expected_location(spark: SparkSession, lake: Lake, batch: Batch) -> str:
     return qualified(spark, lake.curated(batch))
 
 
+#: One lake for all batches, or the lake, at its version, of each batch.
+Lakes = Lake | Mapping[Batch, Lake]
+
+
+def _wanted(spark: SparkSession, lakes: Lakes, batches: Iterable[Batch]) -> dict[Batch, str]:
+    return {b: expected_location(spark, lakes if isinstance(lakes, Lake) else lakes[b], b) for b in batches}
+
+
 def listed_partitions(spark: SparkSession, table: str) -> dict[tuple[int, int], list[tuple[tuple[str, str], str]]]:
     """Every partition the catalog holds, by (year, month): its values as spelled there, and its location.
 
@@ -72,12 +80,12 @@ def partition_is_correct(spark: SparkSession, table: str, lake: Lake, batch: Bat
     return batch in correct_partitions(spark, table, lake, [batch])
 
 
-def correct_partitions(spark: SparkSession, table: str, lake: Lake, batches: Iterable[Batch]) -> set[Batch]:
+def correct_partitions(spark: SparkSession, table: str, lake: Lakes, batches: Iterable[Batch]) -> set[Batch]:
     held = listed_partitions(spark, table)
     return {
         batch
-        for batch in batches
-        if [place for _, place in held.get((batch.year, batch.month), [])] == [expected_location(spark, lake, batch)]
+        for batch, place in _wanted(spark, lake, batches).items()
+        if [found for _, found in held.get((batch.year, batch.month), [])] == [place]
     }
 
 
@@ -87,29 +95,32 @@ def register_partition(spark: SparkSession, table: str, lake: Lake, batch: Batch
 
 
 def register_partitions(
-    spark: SparkSession, table: str, lake: Lake, batches: Iterable[Batch]
+    spark: SparkSession, table: str, lake: Lakes, batches: Iterable[Batch]
 ) -> dict[Batch, bool]:
     """Register or repair partitions.
 
-    A month that is registered once, at its place, is right however it is spelled. All others lose what is
-    registered for them and are added by a single statement.
+    A month that is registered once, at its place, is right however it is spelled. One that is registered once elsewhere
+    is pointed to its place by a single statement, so that readers find the one place or the other. All others lose
+    what is registered for them and are added by a single statement.
     """
     batches = list(batches)
-    held = listed_partitions(spark, table)
-    changed, surplus = {}, []
+    held, wanted = listed_partitions(spark, table), _wanted(spark, lake, batches)
+    changed, surplus, missing, moved = {}, [], [], []
     for batch in batches:
         entries = held.get((batch.year, batch.month), [])
-        right = [place for _, place in entries] == [expected_location(spark, lake, batch)]
-        changed[batch] = not right
-        surplus += [] if right else [values for values, _ in entries]
+        changed[batch] = [place for _, place in entries] != [wanted[batch]]
+        if changed[batch]:
+            if [values for values, _ in entries] == [(str(batch.year), str(batch.month))]:
+                moved.append(batch)
+            else:
+                surplus += [values for values, _ in entries]
+                missing.append(batch)
+    for batch in moved:
+        spark.sql(f"ALTER TABLE {table} {_spec(batch)} SET LOCATION '{_quoted(wanted[batch])}'")
     if surplus:
         drop_as_spelled(spark, table, surplus)
-    missing = [batch for batch in batches if changed[batch]]
     if missing:
-        specs = " ".join(
-            f"{_spec(batch)} LOCATION '{_quoted(expected_location(spark, lake, batch))}'"
-            for batch in missing
-        )
+        specs = " ".join(f"{_spec(batch)} LOCATION '{_quoted(wanted[batch])}'" for batch in missing)
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
     spark.catalog.refreshTable(table)
     return changed

@@ -81,6 +81,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().toString() for status in system.listStatus(target)] if system.exists(target) else []
 
 
+def modified(spark: SparkSession, path: str) -> int:
+    """When a file or folder was last changed, in milliseconds."""
+    system, target = _open(spark, path)
+    return system.getFileStatus(target).getModificationTime()
+
+
 def all_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     """URI, size and modification time (milliseconds) of every file at or below a path, empty ones included.
 

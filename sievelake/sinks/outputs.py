@@ -8,20 +8,25 @@ thousand batches as for one.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from sievelake.batch import Batch, Lake
+from sievelake.batch import ROW_KIND, Batch, Lake
 from sievelake.functions import addresses
 from sievelake.operators.classify import curated, quarantined
 from sievelake.operators.metrics import count_columns, quality_metrics, with_rates
+from sievelake.profiles import QUARANTINE
 from sievelake.sinks import files
 from sievelake.sources.small import fields, small_frame
 
+_PERIOD = "sievelake_period"
 FILE_BYTES = 256 * 1024 * 1024
 COUNTS_DDL = (
     "total_records BIGINT, valid_records BIGINT, warning_records BIGINT, quarantined_records BIGINT"
@@ -62,29 +67,37 @@ def write_batches(
 ) -> list[dict[str, Any]]:
     """Write all batches of a DataFrame that carries their `year` and `month`; return counts per batch.
 
+    The input is read once: one write puts curated and quarantined rows into folders by kind and batch, beside the
+    published ones. Counts come from what was written, its status column alone, so they are those of committed
+    files however often tasks ran. Then curated folders take their places, and quarantined rows, few out of many
+    tasks, are merged on their way to theirs. In a lake at a version curated folders stay where they were written.
+
     Batches absent from the input are left alone. Unless the input is `clustered`,
     with each file holding rows of few batches, rows are rebalanced by batch:
     adaptive execution splits a hot batch over many tasks and merges small ones,
-    so the number of files follows the data and not tasks times batches. The
-    counts come from a scan of the rule columns only, independent of what is written. `file_bytes` is the size
+    so the number of files follows the data and not tasks times batches. `file_bytes` is the size
     that rebalanced partitions, and so files, aim at: by default what the session has set, or else FILE_BYTES.
     """
     spark = classified.sparkSession
-    counts = [row.asDict() for row in quality_metrics(classified, ["year", "month"]).collect()]
+    held = F.when(F.col("validation_status") == QUARANTINE, "quarantine").otherwise("curated")
+    rows = classified.withColumns({ROW_KIND: held, "month": addresses.month_string(F.col("month"))})
+    rows = rows if clustered else rows.hint("rebalance", ROW_KIND, "year", "month")
+    if lake.version:
+        staged = f"{lake.versions_root(dataset)}/{lake.version}"
+    else:
+        staged = f"{lake.curated_root(dataset)}/_staged-{uuid.uuid4().hex}"
+    # Two runs of one version follow each other: what it holds of other batches stays.
+    dynamic = {"partitionOverwriteMode": "dynamic"} if lake.version else {}
+    with _advisory_size(spark, file_bytes):
+        rows.write.partitionBy(ROW_KIND, "year", "month").mode("overwrite").options(**dynamic).parquet(staged)
+    written = spark.read.schema(_with_batch(classified.select("validation_status"))).parquet(staged)
+    counts = [row.asDict() for row in quality_metrics(written, ["year", "month"]).collect()]
     for row in counts:
         if row["year"] is None or row["month"] is None:
+            files.remove(spark, staged)
             raise ValueError(f"{row['total_records']} rows have no batch: year or month is null")
     batches = {Batch(dataset, "", row["year"], row["month"]): row for row in counts}
-
     periods = [batch.period for batch in batches]
-    month = addresses.month_string(F.col("month"))
-    good = curated(classified)
-    good = good if clustered else good.hint("rebalance", "year", "month")
-
-    period = addresses.period(F.col("year"), F.col("month"))
-    bad = quarantined(classified).withColumn("period", period).drop("year", "month")
-    bad = bad.hint("rebalance", "period")
-
     rates = with_rates(
         small_frame(
             spark,
@@ -92,44 +105,50 @@ def write_batches(
             f"period STRING, {COUNTS_DDL}",
         )
     )
-
-    def write_curated() -> None:
-        (
-            good.withColumn("month", month)
-            .write.partitionBy("year", "month")
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(lake.curated_root(dataset))
-        )
+    bad = spark.read.schema(_with_batch(classified)).parquet(staged).where(F.col(ROW_KIND) == "quarantine")
+    bad = bad.withColumn(_PERIOD, addresses.period(F.col("year"), F.col("month"))).drop(ROW_KIND, "year", "month")
+    bad = bad.hint("rebalance", _PERIOD)
 
     def write_quarantine() -> None:
-        write_periods(bad, lake.quarantine_root(dataset), periods, "parquet")
+        write_periods(bad, lake.quarantine_root(dataset), periods, "parquet", _PERIOD)
 
     def write_metrics() -> None:
         write_periods(rates, lake.metrics_root(dataset), periods, "json")
 
+    def publish_curated() -> None:
+        moves = [
+            (spark, f"{staged}/{ROW_KIND}=curated/year={b.year}/month={b.month_string}", lake.curated(b)) for b in batches
+        ]
+        files.for_each(files.mark_complete, [m[::2] for m in moves]) if lake.version else files.for_each(_finish_period, moves)
+
+    # Submitted together: small jobs, and moves that wait for the store.
+    with _advisory_size(spark, file_bytes), ThreadPoolExecutor(3) as pool:
+        steps = (publish_curated, write_quarantine, write_metrics)
+        for done in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]:
+            done.result()
+    # What is left of the staged rows is published elsewhere by now.
+    files.remove(spark, f"{staged}/{ROW_KIND}=quarantine" if lake.version else staged)
+    return counts
+
+
+def _with_batch(classified: DataFrame) -> StructType:
+    kept = [field for field in classified.schema if field.name not in ("year", "month")]
+    batch = [StructField(ROW_KIND, StringType()), StructField("year", IntegerType()), StructField("month", IntegerType())]
+    return StructType([*kept, *batch])
+
+
+@contextmanager
+def _advisory_size(spark: SparkSession, file_bytes: int | None) -> Iterator[None]:
     advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     usual = spark.conf.get(advisory, None)
     spark.conf.set(advisory, str(file_bytes or usual or FILE_BYTES))
-    # Submitted together: the small jobs fill executors the large one leaves idle at its end.
     try:
-        with ThreadPoolExecutor(3) as pool:
-            writes = (write_curated, write_quarantine, write_metrics)
-            for done in [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]:
-                done.result()
+        yield
     finally:
         if usual is None:
             spark.conf.unset(advisory)
         else:
             spark.conf.set(advisory, usual)
-    files.for_each(_finish_curated, [(spark, lake.curated(batch), row) for batch, row in batches.items()])
-    return counts
-
-
-def _finish_curated(spark: SparkSession, target: str, counts: dict[str, Any]) -> None:
-    if not counts["valid_records"] + counts["warning_records"]:
-        files.remove(spark, target)  # no row came to replace an older output
-    files.mark_complete(spark, target)
 
 
 def write_periods(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -14,7 +14,9 @@ from sievelake.operators.publication import publication_state
 from sievelake.sinks import files
 from sievelake.sources.small import small_frame
 
-MANIFEST_DDL = "dataset STRING, period STRING, source_file STRING, source_path STRING, source_checksum STRING"
+MANIFEST_DDL = (
+    "dataset STRING, period STRING, source_file STRING, source_path STRING, source_checksum STRING, version STRING"
+)
 STATE_DDL = (
     "batch_id STRING, dataset STRING, period STRING, source_file STRING, source_checksum STRING, "
     "curated_complete BOOLEAN, quarantine_complete BOOLEAN, metrics_complete BOOLEAN"
@@ -23,7 +25,7 @@ STATE_DDL = (
 
 def publish_raw(spark: SparkSession, lake: Lake, batch: Batch, source_path: str, checksum: str) -> None:
     """Record the raw file as published. It stays where it is: sources already lie on the lake."""
-    row = (batch.dataset, batch.period, batch.source_file, files.qualified(spark, source_path), checksum)
+    row = (batch.dataset, batch.period, batch.source_file, files.qualified(spark, source_path), checksum, lake.version)
     manifest = small_frame(spark, [row], MANIFEST_DDL).coalesce(1)
     manifest.write.mode("overwrite").json(lake.manifest(batch))
 
@@ -64,13 +66,29 @@ def publication_summary(spark: SparkSession, lake: Lake, batch: Batch) -> dict[s
     }
 
 
-def published_batches(spark: SparkSession, lake: Lake, checksums: Iterable[tuple[Batch, str]]) -> DataFrame:
-    """Publication state of batches, given with their source checksums."""
+def published_versions(spark: SparkSession, lake: Lake, batches: Iterable[Batch]) -> dict[Batch, Lake]:
+    """The lake of each batch, at the version that its manifest row names; a lake without versions as it is."""
+    batches = list(batches)
+    if not lake.versioned or not batches:
+        return dict.fromkeys(batches, lake)
+    rows = published_manifest(spark, lake, batches[0].dataset).where("version IS NOT NULL").collect()
+    found = {row["period"]: row["version"] for row in rows}
+    return {batch: lake.at(found.get(batch.period)) for batch in batches}
+
+
+def published_batches(
+    spark: SparkSession,
+    lake: Lake,
+    checksums: Iterable[tuple[Batch, str]],
+    at: Mapping[Batch, Lake] | None = None,
+) -> DataFrame:
+    """Publication state of batches, given with their source checksums; `at` names lakes at versions."""
     asked = list(checksums)
+    places = at or {}
     outputs = [
         (spark, output)
         for batch, _ in asked
-        for output in (lake.curated(batch), lake.quarantine(batch), lake.metrics(batch))
+        for output in (places.get(batch, lake).curated(batch), lake.quarantine(batch), lake.metrics(batch))
     ]
     marks = files.for_each(files.is_complete, outputs)
     rows = [

@@ -147,3 +147,27 @@ def test_counts_prune_by_a_predicate_a_metastore_can_evaluate(spark):
     grid = spark.sql("SELECT y AS year, m AS month FROM VALUES (2024), (2025) AS a(y), VALUES (1), (2), (12) AS b(m)")
     assert {tuple(r) for r in grid.where(wanted).collect()} == {(2024, 12), (2025, 1), (2025, 2)}
     assert "year * 100" not in str(wanted)
+
+
+@pytest.mark.parametrize("months", [1, 9])
+def test_the_source_is_read_once(spark, lake, months):
+    """Curated rows, quarantined rows and counts of any number of batches, from one pass over the input."""
+    made = [row for m in range(1, months + 1) for row in rows(m, 2, 1, 1)]
+    source = spark.createDataFrame(made, DDL)
+    read = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    seen = source.mapInArrow(passed, source.schema)
+    counts = write_batches(classified_batches(seen, "d", "p"), lake, "d")
+    assert read.value == 4 * months
+    assert {(c["total_records"], c["valid_records"], c["warning_records"], c["quarantined_records"]) for c in counts} == {(4, 2, 1, 1)}
+
+
+def test_nothing_staged_is_left(spark, lake):
+    load(spark, lake, rows(1, 2, 1, 1) + rows(2, 1))
+    names = [f.rsplit("/", 1)[1] for root in (lake.curated_root("d"), lake.quarantine_root("d"), lake.metrics_root("d")) for f in files.children(spark, root)]
+    assert not [n for n in names if n.startswith("_staged")]
