@@ -3,8 +3,8 @@
 Texts are dealt out by ranges of doc_id and sorted; a task encodes its documents, cuts them into
 shards of about `shard_tokens` ids, compresses each shard on its own and writes it as one file. Within a
 shard, Re-Pair replaces frequent pairs of neighbouring symbols by new symbols, again and again: a turn
-counts all pairs, takes the `pairs` most frequent ones that occur `least` times or more, and replaces them from
-left to right. Turns go on until no pair occurs `least` times; `pairs` bounds a turn, not the grammar. A rule takes
+takes the `pairs` most frequent ones that occur `least` times or more, replaces them from left to right and
+counts anew only the pairs beside. Turns go on until no pair occurs `least` times; `pairs` bounds a turn, not the grammar. A rule takes
 12 bytes of a file and each use of it saves 3, so that pairs seen fewer than four times would not pay.
 No pair reaches over the end of a document, so that every document can be decoded alone.
 
@@ -38,58 +38,123 @@ SHARD_TOKENS = 1_000_000
 PAIRS = 2048
 LEAST = 4
 END = 1
-_BINS = 20
 _WRITTEN = "partition int, file string, docs long, ids long, symbols long"
 _READ = "doc_id long, start long, n_tokens long, ids_crc32 long, partition int"
 
 
+def _sorted(at: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending places and their keys in order of the keys. Both in one word, if they fit, sort several times faster."""
+    half = max(int((key & np.uint64(0xFFFFFFFF)).max(initial=0)).bit_length(), 1)
+    high = int((key >> np.uint64(32)).max(initial=0)).bit_length()
+    place = max(int(at.max(initial=0)).bit_length(), 1)
+    if high + half + place > 64:
+        order = np.argsort(key, kind="stable")
+        return at[order], key[order]
+    h, p, low = np.uint64(half), np.uint64(place), np.uint64(0xFFFFFFFF)
+    packed = ((((key >> np.uint64(32)) << h) | (key & low)) << p) | at.astype(np.uint64)
+    packed.sort()
+    pair = packed >> p
+    return (packed & np.uint64((1 << place) - 1)).astype(np.int64), ((pair >> h) << np.uint64(32)) | (pair & np.uint64((1 << half) - 1))
+
+
+class _Pairs:
+    """The pairs of neighbouring symbols that may be frequent: key, count of places, and where they were found.
+
+    A pair's places all come about in one turn, that in which the later of its symbols is made; afterwards it only
+    becomes rarer. So a pair is numbered once, if it is frequent then, and counts change only beside what a turn replaced.
+    """
+
+    def __init__(self, places: int, least: int):
+        self.of = np.full(places, -1, np.int32)
+        self.least = least
+        self.key, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.begin, self.size, self.at = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def add(self, at: np.ndarray, key: np.ndarray) -> None:
+        """Number the pairs of `key` that stand at the places `at`; those seen too rarely are forgotten."""
+        at, key = _sorted(at, key)
+        opens = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        size = np.diff(opens, append=len(key))
+        often = size >= self.least
+        held = np.repeat(often, size)
+        at, opens, size = at[held], opens[often], size[often]
+        self.of[at] = np.repeat(np.arange(len(self.key), len(self.key) + len(size), dtype=np.int32), size)
+        self.begin = np.concatenate([self.begin, len(self.at) + np.cumsum(size) - size])
+        self.at = np.concatenate([self.at, at.astype(np.int32)])
+        self.key, self.count, self.size = np.concatenate([self.key, key[opens]]), np.concatenate([self.count, size]), np.concatenate([self.size, size])
+
+    def drop(self, at: np.ndarray) -> None:
+        pair = self.of[at]
+        self.count -= np.bincount(pair[pair >= 0], minlength=len(self.count))
+        self.of[at] = -1
+
+    def most_frequent(self, pairs: int) -> np.ndarray:
+        """Numbers of the `pairs` most frequent pairs, of equal counts those of the least keys, in order of their keys."""
+        often = np.flatnonzero(self.count >= self.least)
+        if len(often) > pairs:
+            limit = np.partition(self.count[often], len(often) - pairs)[len(often) - pairs]
+            above, equal = often[self.count[often] > limit], often[self.count[often] == limit]
+            equal = equal[np.argsort(self.key[equal], kind="stable")][: pairs - len(above)]
+            often = np.concatenate([above, equal])
+        return often[np.argsort(self.key[often], kind="stable")]
+
+    def places(self, pairs: np.ndarray) -> np.ndarray:
+        size = self.size[pairs]
+        after = np.cumsum(size)
+        at = self.at[np.repeat(self.begin[pairs] - after + size, size) + np.arange(after[-1])]
+        return np.sort(at[self.of[at] == np.repeat(pairs, size)])
+
+
 def compress(ids: np.ndarray, counts: np.ndarray, vocabulary: int, pairs: int = PAIRS, least: int = LEAST):
     """symbols, symbols of each document, rules (n x 2), expansion lengths of the rules."""
+    n = len(ids)
     seq = ids.astype(np.uint32)
-    last = np.zeros(len(seq), bool)
+    last = np.zeros(n, bool)
     last[np.cumsum(counts) - 1] = True
-    rules, lengths = np.zeros((0, 2), np.uint32), np.ones(vocabulary, np.uint32)
-    # places whose pair may be frequent: an old pair only becomes rarer, so that rare ones are not counted again
-    alive = ~last
-    while True:
-        at = np.flatnonzero(alive)
-        key = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
-        # a table of hashed pairs shows which can be frequent at all; those are counted exactly
-        with np.errstate(over="ignore"):
-            bin_ = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BINS)).astype(np.int32)
-        heavy = (np.bincount(bin_, minlength=1 << _BINS) >= least)[bin_]
-        alive[at[~heavy]] = False
-        at, key, bin_ = at[heavy], key[heavy], bin_[heavy]
-        found, number = np.unique(key, return_counts=True)
-        often = np.flatnonzero(number >= least)
-        if not len(often):
-            break
-        often = often[np.lexsort((found[often], -number[often]))[:pairs]]
-        chosen = np.sort(found[often])
-        with np.errstate(over="ignore"):
-            marked = np.zeros(1 << _BINS, bool)
-            marked[(chosen * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BINS)] = True
-        at, key = at[marked[bin_]], key[marked[bin_]]
-        near = np.minimum(np.searchsorted(chosen, key), len(chosen) - 1)
-        hit = chosen[near] == key
-        at, near = at[hit], near[hit]
+    # neighbours among the symbols that are left
+    after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
+    stay = np.ones(n, bool)
+    rules, lengths = [np.zeros((0, 2), np.uint32)], np.ones(vocabulary, np.uint32)
+    known = _Pairs(n, least)
+
+    def keys(at: np.ndarray) -> np.ndarray:
+        return (seq[at].astype(np.uint64) << np.uint64(32)) | seq[after[at]]
+
+    open_ = np.flatnonzero(~last)
+    known.add(open_, keys(open_))
+    while len(chosen := known.most_frequent(pairs)):
+        at = known.places(chosen)
         # of overlapping places take every other one, from the left
-        opens = np.append(True, np.diff(at) != 1)
+        opens = np.append(True, after[at[:-1]] != at[1:])
         order = np.arange(len(at))
-        take = (order - np.maximum.accumulate(np.where(opens, order, 0))) % 2 == 0
-        at, near = at[take], near[take]
-        used = np.unique(near)
-        new = np.zeros(len(chosen), np.uint32)
-        new[used] = vocabulary + len(rules) + np.arange(len(used), dtype=np.uint32)
-        pair = np.stack([chosen[used] >> np.uint64(32), chosen[used] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
-        rules, lengths = np.concatenate([rules, pair]), np.concatenate([lengths, lengths[pair].sum(1, dtype=np.uint32)])
-        seq[at] = new[near]
-        last[at] = last[at + 1]
-        alive[at], alive[at - (at > 0)] = ~last[at], ~last[at - (at > 0)]
-        stay = np.ones(len(seq), bool)
-        stay[at + 1] = False
-        seq, last, alive = seq[stay], last[stay], alive[stay]
-    return seq, np.diff(np.flatnonzero(last), prepend=-1), rules, lengths[vocabulary:]
+        at = at[(order - np.maximum.accumulate(np.where(opens, order, 0))) % 2 == 0]
+        number = np.full(len(known.key), -1, np.int64)
+        used = np.zeros(len(known.key), bool)
+        used[known.of[at]] = True
+        used = chosen[used[chosen]]
+        number[used] = len(lengths) + np.arange(len(used))
+        key = known.key[used]
+        pair = np.stack([key >> np.uint64(32), key & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
+        symbols = number[known.of[at]].astype(np.uint32)
+        rules.append(pair)
+        lengths = np.concatenate([lengths, lengths[pair].sum(1, dtype=np.uint32)])
+        # replace: the right symbol goes, its neighbour is the left one's now
+        right = after[at]
+        known.drop(right)
+        seq[at], last[at], after[at], stay[right] = symbols, last[right], after[right], False
+        inner = after[at] < n
+        before[after[at[inner]]] = at[inner]
+        # pairs that changed: those the new symbols begin, and those they end
+        left = before[at]
+        left = left[left >= 0]
+        beside = np.zeros(n, bool)
+        beside[at] = beside[left] = True
+        beside = np.flatnonzero(beside)
+        known.drop(beside)
+        beside = beside[~last[beside]]
+        known.add(beside, keys(beside))
+    seq, last = seq[stay], last[stay]
+    return seq, np.diff(np.flatnonzero(last), prepend=-1), np.concatenate(rules), lengths[vocabulary:]
 
 
 class Shard:
