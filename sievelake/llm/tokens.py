@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import json
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words an encoder remembers before it starts afresh, so that its memory is bounded.
+#: Words an encoder remembers before it forgets those it did not meet again, so that its memory is bounded.
 REMEMBERED = 400_000
 #: Bytes of text that are encoded in one go, unless a single text is longer.
 STEP = 2_000_000
@@ -18,6 +17,7 @@ STEP = 2_000_000
 #: Letters of the Latin blocks, and ASCII marks that stand after them.
 LETTERS = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0x250)) if c not in (0xD7, 0xF7)]
 MARKS = ".,!?|%*&$#"
+_IS_MARK = np.isin(np.arange(256), list(MARKS.encode()))
 _COMBINING = r"[\x{0300}-\x{036F}]"
 
 _encoders: dict[tuple, Encoder] = {}
@@ -57,7 +57,11 @@ class Encoder:
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         if suffix:
             self.closes[[number for token, number in vocabulary.items() if token.endswith(suffix)]] = True
-        self.cut = rf"([{''.join(filter(self._keeps_apart, LETTERS))}])([{re.escape(MARKS)}])"
+        self.cut = set(filter(self._keeps_apart, LETTERS))
+        # the same by the one or two bytes that such a letter ends in
+        self.after = np.zeros(1 << 16, bool)
+        for letter in map(str.encode, self.cut):
+            self.after[int.from_bytes(letter, "big") if len(letter) > 1 else np.arange(256) * 256 + letter[0]] = True
         self._forget()
 
     def _keeps_apart(self, letter: str) -> bool:
@@ -71,6 +75,16 @@ class Encoder:
         self.flat = np.zeros(0, np.uint32)
         self.begin = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
+        self.met = np.zeros(0, bool)
+
+    def _forget_unmet(self) -> None:
+        """Keep the words met again since this was last done, the newest half of what can be remembered at most."""
+        kept = np.flatnonzero(self.met)[-(REMEMBERED // 2) :]
+        words, size, begin = list(self.place), self.size[kept], self.begin[kept]
+        after = np.cumsum(size)
+        self.flat = self.flat[np.repeat(begin - after + size, size) + np.arange(after[-1] if len(after) else 0)]
+        self.place = {words[i]: place for place, i in enumerate(kept.tolist())}
+        self.begin, self.size, self.met = after - size, size, np.zeros(len(kept), bool)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -107,9 +121,13 @@ class Encoder:
 
     def _places(self, words: list[str]) -> np.ndarray:
         new = [w for w in words if w not in self.place]
+        if len(self.place) + len(new) > REMEMBERED:
+            self._forget_unmet()
+            new = [w for w in words if w not in self.place]
         if len(self.place) + len(new) > REMEMBERED:
             self._forget()
             new = words
+        known = len(self.begin)
         if new:
             new = sorted(new, key=str.isalpha)
             letters = next((i for i, w in enumerate(new) if w.isalpha()), len(new))
@@ -120,17 +138,32 @@ class Encoder:
             self.flat = np.concatenate([self.flat, *found[0][0], *found[1][0]])
             self.begin = np.concatenate([self.begin, begins])
             self.size = np.concatenate([self.size, sizes])
-        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+            self.met = np.concatenate([self.met, np.zeros(len(sizes), bool)])
+        places = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        self.met[places[places < known]] = True
+        return places
 
     def _cut(self, texts: pa.Array) -> pa.Array:
         lower = pc.ascii_lower(texts)
         # where an added token is spelled out, or would be in lower case, nothing but white space divides
-        if not any(pc.any(pc.match_substring(lower, token)).as_py() for token in self.added):
-            if self.lowers:
-                # some letters have a form with a combining mark in lower case alone, which normalising would then find
-                texts = pc.if_else(pc.match_substring_regex(texts, _COMBINING), texts, lower)
-            texts = pc.replace_substring_regex(texts, self.cut, r"\1 \2")
-        return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        marks = not any(pc.any(pc.match_substring(lower, token)).as_py() for token in self.added)
+        if marks and self.lowers:
+            # some letters have a form with a combining mark in lower case alone, which normalising would then find
+            texts = pc.if_else(pc.match_substring_regex(texts, _COMBINING), texts, lower)
+        _, offsets, data = texts.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[: len(texts) + 1]
+        text = np.frombuffer(data or b"", np.uint8)[: offsets[-1]]
+        at = np.flatnonzero(_IS_MARK[text]) if marks else np.zeros(0, np.int64)
+        at = at[at > 0]
+        before = (text[at - 2].astype(np.int32) << 8) | text[at - 1]
+        opens = np.zeros(len(text) + 1, bool)
+        opens[offsets] = True
+        at = at[self.after[before] & ~opens[at]]
+        text = np.insert(text, at, 32)
+        text[text == 10] = 32
+        ends = offsets + np.searchsorted(at, offsets)
+        spaced = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(ends), pa.py_buffer(text))
+        return pc.split_pattern(spaced, " ")
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, each text closed by `end`; and the count of each."""

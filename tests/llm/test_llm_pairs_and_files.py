@@ -277,6 +277,7 @@ def test_texts_are_cut_only_where_the_library_keeps_letters_and_marks_apart():
     rng = random.Random(6)
     pool = tokens.LETTERS + list("0129'\"-()<>;:@_") + list("\u0301\u0308\u0331\u030aßſµª一\u200d \t\r") + ["İ", " ", "\n"] * 20 + list(tokens.MARKS) * 12
     every += ["".join(rng.choice(pool) for _ in range(rng.randint(1, 30))) for _ in range(6000)]
+    every += [".a", None, "a", "!", "", "é", "?b"]  # no cut at the ends of texts
     ids, counts = by_word.encode(pa.array(every), 1)
     want = plain_ids(every)
     assert list(counts) == list(map(len, want)) and list(ids) == [i for w in want for i in w]
