@@ -42,6 +42,8 @@ def parser() -> argparse.ArgumentParser:
     series.add_argument("--no-reconcile", action="store_true")
     series.add_argument("--parallel", type=int, default=1, help="small batches that share the cluster")
     series.add_argument("--one-pass", action="store_true", help="take each step for all batches at once; needs --lake")
+    series.add_argument("--rehash", action="store_true", help="hash all source files, whatever the stored manifest says")
+    series.add_argument("--versioned", action="store_true", help="write partitions beside those that are read; needs --one-pass and --table")
     single = kinds.add_parser("single", parents=[shared], help="process one batch, without publication")
     single.add_argument("--period", type=_period, required=True, metavar="YYYY-MM")
     return commands
@@ -63,10 +65,10 @@ def main(arguments: list[str] | None = None) -> None:
             record = run_single(spark, batch, Site(ledger, options.work, cast=options.cast))
             print(f"{batch.batch_id}: {'SKIPPED' if record is None else record['status']}")
             return
-        lake = Lake(options.lake) if options.lake else None
+        lake = Lake(options.lake, options.versioned) if options.lake else None
         if lake and options.table:
             catalog.create_table(spark, options.table, lake.curated_root(options.dataset))
-        site = Site(ledger, options.work, lake, options.table, not options.no_reconcile, cast=options.cast)
+        site = Site(ledger, options.work, lake, options.table, not options.no_reconcile, cast=options.cast, rehash=options.rehash)
         batches = [Batch(options.dataset, options.prefix, *m) for m in months(options.first, options.last)]
         run = run_all(spark, batches, site) if options.one_pass else run_series(spark, batches, site, options.parallel)
         for record in run:

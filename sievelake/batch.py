@@ -87,6 +87,9 @@ class Lake:
     def manifest_root(self, dataset: str) -> str:
         return _join(self.root, "manifest", dataset)
 
+    def file_manifest_root(self, dataset: str) -> str:
+        return _join(self.root, "manifest_of_files", dataset)
+
     @property
     def ledger(self) -> str:
         return _join(self.root, "metrics", "pipeline_runs")

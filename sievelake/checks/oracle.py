@@ -198,13 +198,14 @@ ORACLES: dict[str, str] = {
     "processed_runs": f"{_RUNS} SELECT run_id, status, completed FROM done",
     "pending_batches": f"{_RUNS} SELECT batch_id, source_checksum FROM b WHERE NOT EXISTS ({_DONE})",
     "skipped_batches": f"{_RUNS} SELECT batch_id, source_checksum FROM b WHERE EXISTS ({_DONE})",
-    # Attempt 1 has no completion time and so comes first; later attempts complete later.
-    "latest_processed_counts": f"""{_RUNS}
+    "folded_skips": f"{_RUNS} SELECT batch_id, source_checksum FROM b WHERE EXISTS ({_DONE})",
+    **dict.fromkeys(("latest_processed_counts", "folded_counts"), f"""{_RUNS}
+        -- Attempt 1 has no completion time and so comes first; later attempts complete later.
         SELECT batch_id, source_checksum, rows_read, valid_records, warning_records, quarantined_records
         FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY batch_id, source_checksum
                                            ORDER BY attempt DESC) AS newest
               FROM done WHERE completed AND valid_records IS NOT NULL AND warning_records IS NOT NULL)
-        WHERE newest = 1""",
+        WHERE newest = 1"""),
     "recorded_reruns": f"""{_RUNS} SELECT run_id FROM runs WHERE publish_status = 'BACKFILLED'
         OR partition_status = 'CREATED' OR reconciliation_status = 'MATCH'""",
     "published_rows": f"""{_WITH} SELECT {_KEYS}, batch_id, validation_status FROM c
@@ -260,6 +261,11 @@ ORACLES: dict[str, str] = {
         ROUND(curated_records / source_records * 100, 4) AS quality_pass_rate,
         curated_records - athena_records AS reconciliation_difference FROM h""",
     "invariants": f"{_invariants('FALSE')} UNION ALL {_invariants('TRUE')}",
+    "manifest_changes": f"""{_WITH}, f AS (SELECT month, 'year=' || year || '/month=' || month AS folder,
+          batch_id || ':' || COUNT(*) || chr(10) AS line FROM c GROUP BY year, month, batch_id)
+        SELECT folder, CASE month WHEN 1 THEN 'removed' WHEN 2 THEN 'changed' ELSE 'same' END AS change,
+          month IN (2, 4) AS hashed, sha256(CASE WHEN month = 2 THEN 'other' ELSE line END) AS sha256 FROM f
+        UNION ALL SELECT folder, 'added', TRUE, sha256('more') FROM f WHERE month = 3""",
     "source_manifest": f"""{_WITH} SELECT 'year=' || year || '/month=' || month AS folder,
         CAST(length(line) AS BIGINT) AS size_bytes, sha256(line) AS sha256
         FROM (SELECT year, month, batch_id || ':' || COUNT(*) || chr(10) AS line FROM c GROUP BY year, month, batch_id)""",

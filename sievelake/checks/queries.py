@@ -22,9 +22,11 @@ from sievelake.profiles import TRIPS
 from sievelake.session import tune
 from sievelake.sinks import catalog, files, publish
 from sievelake.sinks.outputs import read_curated, write_batches
+from sievelake.sources import ledger_state
 from sievelake.sources.history import read_history
-from sievelake.sources.ledger import append_ledger, read_ledger
+from sievelake.sources.ledger import append_ledger, compact_ledger, read_ledger
 from sievelake.sources.manifest import file_manifest
+from sievelake.sources.manifest_store import refresh_manifest
 from sievelake.sources.small import small_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,10 +182,41 @@ def source_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def manifest_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a refresh finds after January's file went, February's got another content, March a second file, and April
+    was written again with the same content; files that did not change are not read."""
+    line = F.concat_ws(":", addresses.batch_id(DATASET, F.col("in_year"), F.col("in_month")), "rows")
+    found = trips(spark, sf_dir).groupBy("year", "month")
+    found = found.agg(F.max("year").alias("in_year"), F.max("month").alias("in_month"), F.count("*").alias("rows"))
+    root = scratch(spark)
+    raw, store = f"{root}/raw", f"{root}/manifest"
+    found.select("year", "month", line.alias("line")).write.partitionBy("year", "month").text(raw)
+    refresh_manifest(spark, store, [raw])
+    for path, _, _ in files.all_files(spark, raw):
+        folder, month = path.rpartition("/")[0], path.rpartition("/")[0].rpartition("=")[2]
+        if month == "1":
+            files.remove(spark, path)
+        elif month == "2":
+            files.write_text(spark, path, "other")
+        elif month == "3":
+            files.write_text(spark, f"{folder}/second.txt", "more")
+        elif month == "4":
+            files.write_text(spark, path, files.read_text(spark, path))
+    return refresh_manifest(spark, store, [raw]).select(
+        F.regexp_extract("path", "(year=[0-9]+/month=[0-9]+)/", 1).alias("folder"), "change", "hashed", "sha256"
+    )
+
+
 # -- ledger -------------------------------------------------------------------------------------
 
 
 def _run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark)
+    append_ledger(_runs(spark, sf_dir), path)
+    return read_ledger(spark, path)
+
+
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs made from the trips: six attempts per batch over three contents, with mixed outcomes."""
     attempt = F.col("rate_code_id")
     kind = F.pmod(F.col("year") * 12 + F.col("month") + attempt, F.lit(7))
@@ -194,7 +227,7 @@ def _run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     def unless_countless(name: str):
         return F.when(kind != 4, F.col(name))
 
-    runs = counted.select(
+    return counted.select(
         F.format_string("run_%d_%d_%d", "year", "month", attempt).alias("run_id"),
         batch.alias("batch_id"),
         F.sha2(F.concat(batch, F.lit(":"), (attempt % 3).cast("string")), 256).alias("source_checksum"),
@@ -215,9 +248,6 @@ def _run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         unless_countless("warning_records").alias("warning_records"),
         unless_countless("quarantined_records").alias("quarantined_records"),
     )
-    path = scratch(spark)
-    append_ledger(runs, path)
-    return read_ledger(spark, path)
 
 
 def _current_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,6 +278,28 @@ def latest_processed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledgers.latest_counts(_run_history(spark, sf_dir)).drop("ingested_at")
 
 
+def _folded_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger's state after its first appends were folded, compacted and folded again, and others came since."""
+    path, runs = scratch(spark), _runs(spark, sf_dir)
+    attempt = F.element_at(F.split("run_id", "_"), -1).cast("int")
+    append_ledger(runs.where(attempt == 4), path)
+    ledger_state.fold_ledger(spark, path)
+    append_ledger(runs.where(attempt <= 2), path)
+    compact_ledger(spark, path)
+    ledger_state.fold_ledger(spark, path)
+    append_ledger(runs.where(attempt.isin(3, 5, 6)), path)
+    return ledger_state.ledger_state(spark, path)
+
+
+def folded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger_state.latest_counts(_folded_state(spark, sf_dir)).drop("ingested_at")
+
+
+def folded_skips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = ledger_state.completed_keys(_folded_state(spark, sf_dir))
+    return _current_batches(spark, sf_dir).join(done, ledgers.KEY, "left_semi")
+
+
 def recorded_reruns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledgers.rerun_records(_run_history(spark, sf_dir)).select("run_id")
 
@@ -480,10 +532,13 @@ _QUERIES: dict[str, Query] = {
     "batch_counts": batch_counts,
     "batch_addresses": batch_addresses,
     "source_manifest": source_manifest,
+    "manifest_changes": manifest_changes,
     "processed_runs": processed_runs,
     "pending_batches": pending_batches,
     "skipped_batches": skipped_batches,
     "latest_processed_counts": latest_processed_counts,
+    "folded_counts": folded_counts,
+    "folded_skips": folded_skips,
     "recorded_reruns": recorded_reruns,
     "single_run": single_run,
     "published_rows": published_rows,

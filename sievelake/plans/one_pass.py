@@ -8,7 +8,6 @@ batch by batch: publications to be restored, sources without a row, and the sear
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import replace
@@ -31,13 +30,12 @@ from sievelake.plans.load import classified_normal, of_batches
 from sievelake.plans.series import Site
 from sievelake.sinks import catalog, files, publish
 from sievelake.sinks.outputs import write_batches, write_periods
-from sievelake.sources.ledger import append_records, read_ledger
-from sievelake.sources.manifest import source_checksums
+from sievelake.sources.ledger import append_records
+from sievelake.sources.ledger_state import FOLD_AFTER, completed_keys, fold_ledger, latest_counts, ledger_state, unfolded
+from sievelake.sources.manifest_store import stored_checksums
 from sievelake.sources.schemas import file_columns, file_schemas, parse, wider
 from sievelake.sources.small import small_frame
 
-EMPTY_CHECKSUM = hashlib.sha256(b"").hexdigest()
-
 
 def read_batches(spark: SparkSession, paths: Iterable[str], source_prefix: str) -> DataFrame:
     """Rows of many raw files or folders; `year` and `month` come from the name, as files do not hold them."""
@@ -82,6 +80,8 @@ def run_all(spark: SparkSession, batches: Iterable[Batch], site: Site) -> list[d
     run.attempt(_all_steps, batches)
     failed = _finish(run)
     append_records(spark, site.ledger, [r for r in run.records.values() if r.pop("_recorded")])
+    if unfolded(spark, site.ledger) > FOLD_AFTER:
+        fold_ledger(spark, site.ledger)
     if len(failed) == 1:
         raise next(iter(failed.values()))
     if failed:
@@ -128,22 +128,20 @@ def _all_steps(run: _Run, batches: list[Batch]) -> None:
         if not there:
             run.fail(batch, FileNotFoundError(f"no such input: {site.source(batch)}"))
     facts = _facts(spark, run.left(), site)
-    checksums = source_checksums(spark, {site.source(batch) for batch in run.left()})
+    root = site.lake.file_manifest_root(batches[0].dataset)
+    checksums = stored_checksums(spark, root, {site.source(batch) for batch in run.left()}, site.rehash)
     for batch in run.left():
-        # an empty folder has no file to hash
-        records[batch]["source_checksum"] = checksums.get(site.source(batch)) or EMPTY_CHECKSUM
+        records[batch]["source_checksum"] = checksums[site.source(batch)]
 
-    ledger = read_ledger(spark, site.ledger)
     keys = small_frame(
         spark,
         [(b.batch_id, records[b]["source_checksum"]) for b in run.left()],
         "batch_id STRING, source_checksum STRING",
     )
-    counted = ledgers.latest_counts(ledger, site.trust_processing_status)
-    done = {
-        row["batch_id"]: row
-        for row in ledgers.skipped(keys, ledger, site.trust_processing_status).join(counted, KEY, "left").collect()
-    }
+    state = ledger_state(spark, site.ledger, [b.batch_id for b in run.left()])
+    known = keys.join(completed_keys(state, site.trust_processing_status), KEY, "left_semi")
+    counted = latest_counts(state, site.trust_processing_status)
+    done = {row["batch_id"]: row for row in known.join(counted, KEY, "left").collect()}
     new = [batch for batch in run.left() if batch.batch_id not in done]
     run.old = [batch for batch in run.left() if batch.batch_id in done]
 

@@ -33,7 +33,8 @@ class Site:
     """Where a series works and which steps it takes.
 
     Without a `lake` nothing is published, without a `table` nothing is
-    registered, and reconciliation needs both besides its own switch.
+    registered, and reconciliation needs both besides its own switch. A series in one pass hashes only files whose size or time
+    differs from the stored manifest's, or with `rehash` all.
     """
 
     ledger: str
@@ -44,6 +45,7 @@ class Site:
     profile: Profile = TRIPS
     cast: bool = False
     trust_processing_status: bool = False
+    rehash: bool = False
 
     @property
     def registers(self) -> bool:

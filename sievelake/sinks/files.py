@@ -47,6 +47,29 @@ def mark_complete(spark: SparkSession, path: str) -> None:
     system.create(target, True).close()
 
 
+def create_empty(spark: SparkSession, path: str) -> None:
+    system, target = _open(spark, path)
+    system.create(target, False).close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, such as a note beside data, in the place of an older one."""
+    system, target = _open(spark, path)
+    stream = system.create(target, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    return spark.read.text(path, wholetext=True).first()["value"]
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    system, target = _open(spark, path)
+    return system.getFileStatus(target).isDirectory()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     system, target = _open(spark, path)
     system.delete(target, True)

@@ -18,7 +18,10 @@ from pyspark.sql import functions as F
 from sievelake.sinks import files
 from sievelake.sources.small import fields, small_frame
 
-SEQ = "struct<completed_at: timestamp, file_age: timestamp, file: string, block: bigint, line: bigint>"
+SEQ = "struct<completed_at: timestamp, place: bigint, file_age: timestamp, file: string, block: bigint, line: bigint>"
+_LATER = 2**63 - 1
+#: The folder of a ledger's snapshots, which readers of records pass over.
+SNAPSHOTS = "_snapshots"
 
 # Field names of a ledger record, so ledgers written earlier stay readable.
 LEDGER_DDL = """
@@ -31,7 +34,7 @@ LEDGER_DDL = """
     glue_registration_enabled BOOLEAN, glue_partition_status STRING,
     athena_reconciliation_enabled BOOLEAN, query_execution_id STRING, year BIGINT, month BIGINT,
     expected_records BIGINT, athena_records BIGINT, difference BIGINT, reconciliation_status STRING,
-    error_type STRING, error_message STRING, error STRING, ingested_at STRING
+    error_type STRING, error_message STRING, error STRING, ingested_at STRING, place BIGINT
 """
 
 
@@ -39,12 +42,17 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Every record, with `seq` to order them; a missing ledger is an empty one.
 
     Spark reads files in no fixed order. `seq` sorts by completion, where records
-    without one come first, then by the place the record was read from: file age,
+    without one come first, then by the place that compaction gave them, then by where the record was read from: file age,
     file, block and line. A damaged line raises instead of vanishing.
     """
+    return read_records(spark, [path])
+
+
+def read_records(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The records in files and folders of a ledger."""
     try:
         read = spark.read.schema(LEDGER_DDL).option("mode", "FAILFAST").option("recursiveFileLookup", True)
-        records = read.json(path)
+        records = read.json(paths)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -53,6 +61,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
         "*",
         F.struct(
             F.col("completed_at").try_cast("timestamp").alias("completed_at"),
+            F.coalesce("place", F.lit(_LATER)).alias("place"),
             F.col("_metadata.file_modification_time").alias("file_age"),
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
@@ -81,11 +90,16 @@ def append_ledger(records: DataFrame, path: str) -> None:
 def compact_ledger(spark: SparkSession, path: str) -> None:
     """Write all records anew as one append, in their order, and remove the folders and files they came from.
 
-    Until the removal is done some records are there twice, which no decision taken from a ledger minds;
-    records appended meanwhile stay.
+    Records are dealt by ranges of their order, and each is given its place, so that no task holds the ledger and
+    the order is kept whichever file is written first. Snapshots go, and are made anew by the next folding. Until the removal is done some records are there twice, which no
+    decision taken from a ledger minds; records appended meanwhile stay.
     """
-    before = files.children(spark, path)
-    names = [name for name, _ in fields(LEDGER_DDL)]
-    ordered = read_ledger(spark, path).repartitionByRange(1, "seq").sortWithinPartitions("seq").select(*names)
-    append_ledger(ordered, path)
+    before = [child for child in files.children(spark, path) if not child.rsplit("/", 1)[1].startswith("_")]
+    if not before:
+        return
+    names = [name for name, _ in fields(LEDGER_DDL) if name != "place"]
+    ordered = read_records(spark, before).repartitionByRange("seq").sortWithinPartitions("seq")
+    append_ledger(ordered.select(*names, F.monotonically_increasing_id().alias("place")), path)
+    # snapshots order records by where they lay before
+    files.remove(spark, f"{path.rstrip('/')}/{SNAPSHOTS}")
     files.for_each(files.remove, [(spark, child) for child in before])

@@ -64,10 +64,7 @@ def file_manifest(spark: SparkSession, paths: str | list[str], piece: int = PIEC
     """One row per file under `paths`: path, source_file, size_bytes, modified_at, sha256."""
     listed = [paths] if isinstance(paths, str) else list(paths)
     found = {file for part in for_each(all_files, [(spark, path) for path in listed]) for file in part}
-    rows = [(*file, address(file[0])) for file in sorted(found)]
-    # As many partitions as files, by number, which adaptive execution leaves alone: a row here is a whole file.
-    files = small_frame(spark, rows, f"{MANIFEST_DDL}, address STRING").repartition(min(max(1, len(rows)), MOST_TASKS))
-    hashed = files.mapInPandas(_hasher(piece), f"{MANIFEST_DDL}, sha256 STRING")
+    hashed = hashed_files(spark, found, piece)
     return hashed.select(
         "path",
         F.element_at(F.split("path", "/"), -1).alias("source_file"),
@@ -77,6 +74,14 @@ def file_manifest(spark: SparkSession, paths: str | list[str], piece: int = PIEC
     )
 
 
+def hashed_files(spark: SparkSession, found: Iterable[tuple[str, int, int]], piece: int = PIECE) -> DataFrame:
+    """path, size_bytes, modified_ms, sha256 of listed files."""
+    rows = [(*file, address(file[0])) for file in sorted(found)]
+    # As many partitions as files, by number, which adaptive execution leaves alone: a row here is a whole file.
+    files = small_frame(spark, rows, f"{MANIFEST_DDL}, address STRING").repartition(min(max(1, len(rows)), MOST_TASKS))
+    return files.mapInPandas(_hasher(piece), f"{MANIFEST_DDL}, sha256 STRING")
+
+
 def with_batch_path(manifest: DataFrame, batches: DataFrame) -> DataFrame:
     """Attach to each file the batch it belongs to; `batches` has one `batch_path` URI per batch.
 
