@@ -46,6 +46,12 @@ UNIVERSE_BITS = 20
 BANDS = 24
 ROWS = 4
 SEED = 20260101
+#: Members of a band, and documents and shingles of the two sides of a block, that are compared at once.
+BAND_ROWS = 500
+REST_ROWS, REST_SHINGLES = 500, 250_000
+ALL_ROWS, ALL_SHINGLES = 1000, 500_000
+#: Ways a family's rows are dealt when they look for its facts.
+SALT = 16
 #: What a band's member is compared by.
 FACTS = ("doc_id", "n", "bits_a", "bits_b")
 
@@ -251,14 +257,21 @@ def near_duplicates(
 
 
 def _between_families(members: DataFrame, families: DataFrame, possible: Column) -> DataFrame:
-    """Pairs of one band, of different families, that may be linked."""
+    """Pairs of one band, of different families, that may be linked.
+
+    Bands of more than `BAND_ROWS` such members are dealt in parts, each of which meets the whole band.
+    """
     placed = members.join(families.select(F.col("node").alias("doc_id"), "family"), "doc_id", "left")
     placed = placed.withColumn("family", F.coalesce("family", "doc_id"))
-    met = placed.groupBy("band").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x < y")
-    placed = keep(placed.join(met.select("band"), "band", "left_semi"))
-    other = placed.select("band", *[F.col(x).alias(f"s_{x}") for x in (*FACTS, "family")])
+    met = placed.groupBy("band").agg(F.min("family").alias("x"), F.max("family").alias("y"), F.ceil(F.count("*") / BAND_ROWS).cast("int").alias("parts"))
+    met = met.where("x < y").select("band", "parts")
+    placed = keep(placed.join(met, "band"))
+    one = placed.withColumn("part", F.pmod(F.xxhash64("doc_id"), "parts").cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    other = placed.select(F.col("band").alias("s_band"), every.alias("s_part"), *[F.col(x).alias(f"s_{x}") for x in (*FACTS, "family")])
+    same = (F.col("band") == F.col("s_band")) & (F.col("part") == F.col("s_part"))
     return keep(
-        placed.join(other, (placed["band"] == other["band"]) & (F.col("family") != F.col("s_family")) & possible)
+        one.join(other, same & (F.col("family") != F.col("s_family")) & possible)
         .select(F.col("s_doc_id").alias("a"), F.col("doc_id").alias("b"))
         .distinct()
     )
@@ -268,40 +281,40 @@ def _within_families(sets: DataFrame, labels: DataFrame, over: int, under: int)
     """Links of members outside their family's largest component with any member of the family.
 
     Both sides are dealt into blocks of bounded counts of documents and shingles; every block of the
-    one meets every block of the other.
+    one meets every block of the other. What a block is follows from ids and counts alone; sets join at last, by document, and one
+    exchange by family and both blocks deals the pairs of a large family over many tasks.
     """
-    sizes = labels.groupBy("family", "component").agg(F.count("*").alias("n"))
+    facts = sets.select(F.col("doc_id").alias("node"), (F.octet_length("shingles") / 8).cast("long").alias("n"))
+    told = keep(labels.join(facts.distinct(), "node"))
+    sizes = told.groupBy("family", "component").agg(F.count("*").alias("n"))
     largest = (
         sizes.groupBy("family")
         .agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("c"))
         .where("c > 1")
         .drop("c")
     )
-    named = labels.join(largest, "family")
-    held = keep(
-        sets.join(named, sets["doc_id"] == named["node"])
-        .select("family", "component", "doc_id", "shingles", (F.col("component") != F.col("largest")).alias("rest"))
-        .distinct()
-    )
-    count = F.octet_length("shingles") / 8
+    # a family's rows look for its facts in `SALT` parts
+    salt, salts = F.pmod(F.xxhash64("node"), F.lit(SALT)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
+    salted = told.withColumn("salt", salt)
+    held = keep(salted.join(largest.withColumn("salt", salts), ["family", "salt"]).withColumn("rest", F.col("component") != F.col("largest")))
 
     def parts(rows: DataFrame, name: str, docs: int, shingles: int) -> DataFrame:
-        by = F.greatest(F.ceil(F.count("*") / docs), F.ceil(F.sum(count) / shingles))
+        by = F.greatest(F.ceil(F.count("*") / docs), F.ceil(F.sum("n") / shingles))
         return rows.groupBy("family").agg(by.cast("int").alias(name))
 
-    dealt = held.join(parts(held.where("rest"), "rests", 1000, 500_000), "family").join(
-        parts(held, "alls", 4000, 2_000_000), "family"
-    )
-    facts = ["family", "doc_id", "component", "shingles"]
-    own = F.xxhash64("doc_id")
+    counted = parts(held.where("rest"), "rests", REST_ROWS, REST_SHINGLES).join(parts(held, "alls", ALL_ROWS, ALL_SHINGLES), "family")
+    dealt = held.join(counted.withColumn("salt", salts), ["family", "salt"])
+    own = F.xxhash64("node")
     rest = dealt.where("rest").select(
-        *facts, F.pmod(own, "rests").cast("int").alias("r"), F.explode(F.sequence(F.lit(0), F.col("alls") - 1)).alias("m"), F.lit(0).alias("side")
+        "family", "node", "component", F.pmod(own, "rests").cast("int").alias("r"), F.explode(F.sequence(F.lit(0), F.col("alls") - 1)).alias("m"), F.lit(0).alias("side")
     )
     whole = dealt.select(
-        *facts, F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("r"), F.pmod(own, "alls").cast("int").alias("m"), F.lit(1).alias("side")
+        "family", "node", "component", F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("r"), F.pmod(own, "alls").cast("int").alias("m"), F.lit(1).alias("side")
     )
-    blocks_ = rest.unionAll(whole.select(rest.columns)).groupBy("family", "r", "m")
-    return keep(blocks_.applyInArrow(_block_links(over, under), "a long, b long").distinct())
+    blocks_ = rest.unionAll(whole.select(rest.columns)).join(sets, F.col("node") == F.col("doc_id"))
+    blocks_ = blocks_.select("family", "r", "m", "doc_id", "component", "shingles", "side").repartition("family", "r", "m")
+    links = blocks_.groupBy("family", "r", "m").applyInArrow(_block_links(over, under), "a long, b long")
+    return keep(links.distinct())
 
 
 def _block_links(over: int, under: int):

@@ -81,6 +81,43 @@ def test_near_duplicates_are_the_brute_force_groups(spark, shingle, percent):
     assert nameless == {(0, None, True), (len(sets[2][0]), 2, False)}
 
 
+def test_blocks_of_one_family_run_in_many_tasks(spark, monkeypatch):
+    """Two thirds of a family lie outside its largest component; no task gets more than a block's rows at once."""
+    from pyspark import TaskContext
+
+    def seen(*_):
+        import pyarrow as pa
+
+        return lambda table: pa.table({"a": [TaskContext.get().partitionId()], "b": [table.num_rows]}, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    for name, value in (("REST_ROWS", 20), ("ALL_ROWS", 40)):
+        monkeypatch.setattr(minhash, name, value)
+    sets = spark.createDataFrame([(i, bytearray(8 * 50)) for i in range(600)], "doc_id long, shingles binary")
+    labels = spark.createDataFrame([(i, 0, i % 3 if i < 590 else 0) for i in range(600)], "node long, family long, component long")
+    real = sorted(map(tuple, minhash._within_families(sets, labels, 80, 100).collect()))
+    monkeypatch.setattr(minhash, "_block_links", seen)
+    options = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in options}
+    for k, v in options.items():
+        spark.conf.set(k, v)
+    try:
+        rows = minhash._within_families(sets, labels, 80, 100).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len({r["a"] for r in rows}) > 8 and max(r["b"] for r in rows) < 150
+    assert real and all(a % 3 != b % 3 or max(a, b) >= 590 for a, b in real)
+
+
+def test_bands_of_many_families_are_dealt_in_parts(spark, monkeypatch):
+    rng, more = random.Random(4), []
+    ws = words(rng, 80)
+    more = [(5000 + i, mutated(rng, ws, 0.03), *PAD) for i in range(40)]
+    want = dict(found(minhash.near_duplicates(edge_docs(spark, more)), "doc_id", "component_id"))
+    monkeypatch.setattr(minhash, "BAND_ROWS", 2)
+    assert dict(found(minhash.near_duplicates(edge_docs(spark, more)), "doc_id", "component_id")) == want
+
+
 def test_near_duplicate_edges(spark):
     docs = edge_docs(spark)
     left = minhash.drop_near_duplicates(docs)
