@@ -92,7 +92,7 @@ def test_blocks_of_one_family_run_in_many_tasks(spark, monkeypatch):
 
     for name, value in (("REST_ROWS", 20), ("ALL_ROWS", 40)):
         monkeypatch.setattr(minhash, name, value)
-    sets = spark.createDataFrame([(i, bytearray(8 * 50)) for i in range(600)], "doc_id long, shingles binary")
+    sets = spark.createDataFrame([(i, bytearray(np.arange(50, dtype=np.uint64).tobytes())) for i in range(600)], "doc_id long, shingles binary")
     labels = spark.createDataFrame([(i, 0, i % 3 if i < 590 else 0) for i in range(600)], "node long, family long, component long")
     real = sorted(map(tuple, minhash._within_families(sets, labels, 80, 100).collect()))
     monkeypatch.setattr(minhash, "_block_links", seen)
