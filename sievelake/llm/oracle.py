@@ -116,15 +116,20 @@ SELECT doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repe
   array_to_string(failed, ',') AS failed, NOT base_failed AND len(failed) = 0 AS kept FROM verdicts"""
 
 
-_SUBSTRING = rf"""WITH units AS (SELECT doc_id, text, generate_subscripts(u, 1) AS i, unnest(u) AS unit FROM (
-  SELECT doc_id, text, regexp_extract_all({_LOWER.format("text")}, '[^\n.!?]*[.!?]+[ \t]*\n?|[^\n.!?]+\n?|\n') AS u FROM documents)),
-placed AS (SELECT doc_id, text, sum(length(unit)) OVER (PARTITION BY doc_id, text ORDER BY i) AS "end", length(unit) AS size,
-  regexp_extract_all(unit, {_INK}) AS w FROM units),
-ranked AS (SELECT doc_id, "end" - size AS start, "end", len(w) AS n_words,
+# Lines, paragraphs and sentences written from what they are: runs up to a line feed, up to empty lines, up to marks.
+_SUBSTRING = rf"""WITH cuts(unit, least) AS (VALUES ('line', 1), ('paragraph', 1), ('sentence', 5)),
+found AS (SELECT unit, least, doc_id, text, generate_subscripts(u, 1) AS i, unnest(u) AS body FROM (
+  SELECT unit, least, doc_id, text, CASE unit WHEN 'line' THEN regexp_extract_all(low, '[^\n]*\n|[^\n]+')
+    WHEN 'paragraph' THEN regexp_extract_all(low, '(?:[^\n]+\n?)+\n*|\n+')
+    ELSE regexp_extract_all(low, '[^\n.!?]*[.!?]+[ \t]*\n?|[^\n.!?]+\n?|\n') END AS u
+  FROM (SELECT *, {_LOWER.format("text")} AS low FROM documents), cuts)),
+placed AS (SELECT unit, least, doc_id, text, sum(length(body)) OVER (PARTITION BY unit, doc_id, text ORDER BY i) AS "end", length(body) AS size,
+  regexp_extract_all(body, {_INK}) AS w FROM found),
+ranked AS (SELECT unit, doc_id, "end" - size AS start, "end", len(w) AS n_words,
   rank() OVER same AS place, first_value(doc_id) OVER same AS first_doc_id, first_value("end" - size) OVER same AS first_start
-  FROM placed WHERE len(w) >= 5
-  WINDOW same AS (PARTITION BY array_to_string(w, ' ') ORDER BY doc_id NULLS LAST, "end" - size))
-SELECT doc_id, start::BIGINT AS start, "end"::BIGINT AS "end", n_words::BIGINT AS n_words, first_doc_id,
+  FROM placed WHERE len(w) >= least
+  WINDOW same AS (PARTITION BY unit, array_to_string(w, ' ') ORDER BY doc_id NULLS LAST, "end" - size))
+SELECT unit, doc_id, start::BIGINT AS start, "end"::BIGINT AS "end", n_words::BIGINT AS n_words, first_doc_id,
   first_start::BIGINT AS first_start FROM ranked WHERE place > 1"""
 
 _LINES = rf"""WITH lines AS (SELECT doc_id, generate_subscripts(u, 1) - 1 AS no, unnest(u) AS line

@@ -168,39 +168,59 @@ def test_sketch_quantiles_are_near_the_true_ones(spark):
 # ---- substring and line dedup
 
 
-def units_brute(table, min_words=5):
-    first, out = {}, Counter()
-    units = []
+def units_brute(table, least):
+    """Lines, paragraphs and sentences by splitting, with their places."""
+    first, out, units = {}, Counter(), []
     for doc_id, text in {(d[0], d[1]) for d in table}:
         lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
-        for m in re.finditer(substring.UNITS["sentence"], lower):
-            ws = re.findall(r"[^\x20\x09-\x0D]+", m[0])
-            if len(ws) >= min_words:
-                units.append((doc_id is None, doc_id or 0, m.start(), m.end(), tuple(ws), doc_id))
-    for u in sorted(units, key=lambda u: u[:3]):
-        if u[4] in first:
-            out[u[5], u[2], u[3]] += 1
+        lines = lower.splitlines(keepends=True) if set(lower) & {"\n"} and not set(lower) & set("\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029") else re.split(r"(?<=\n)", lower)
+        pieces, at, held, held_at = [], 0, "", 0
+        for line in lines:
+            pieces.append(("line", at, line))
+            if held and line != "\n" and held.endswith("\n\n"):
+                pieces.append(("paragraph", held_at, held))
+                held, held_at = "", at
+            elif not held.strip("\n") and line != "\n":
+                held, held_at = "", at  # empty lines before the first paragraph belong to none
+            held += line
+            at += len(line)
+        pieces.append(("paragraph", held_at, held))
+        pieces += [("sentence", m.start(), m[0]) for m in re.finditer(substring.UNITS["sentence"], lower)]
+        for unit, start, body in pieces:
+            ws = re.findall(r"[^\x20\x09-\x0D]+", body)
+            if unit in least and len(ws) >= least[unit]:
+                units.append((unit, doc_id is None, doc_id or 0, start, start + len(body), tuple(ws), doc_id))
+    for u in sorted(units, key=lambda u: u[1:4]):
+        if (u[0], u[5]) in first:
+            out[u[0], u[6], u[3], u[4]] += 1
         else:
-            first[u[4]] = u
+            first[u[0], u[5]] = u
     return out
 
 
-def test_substring_dedup_is_the_brute_force_one(spark):
+@pytest.mark.parametrize("units", [substring.DEFAULT, {"line": 1}, {"paragraph": 3, "sentence": 1}])
+def test_substring_dedup_is_the_brute_force_one(spark, units):
     rng = random.Random(4)
     passage = prose(rng, 55).replace("\n", " ")
     more = [(700 + i, "Start here " + passage + " " + prose(rng, 20), "en", "s", 1) + ("x",) * 12 for i in range(5)]
+    more += [(800 + i, f"Own {i}\n\nThe same\ntwo lines.\n\n\nYes\nno {i}\n\nYES", "en", "s", 1) + ("x",) * 12 for i in range(4)]
     docs = edge_docs(spark, more)
-    removed = substring.repeated_units(docs)
-    assert set(found(removed, "doc_id", "start", "end")) == set(units_brute(rows() + more))
+    removed = substring.repeated_units(docs, units)
+    got = found(removed, "unit", "doc_id", "start", "end")
+    assert set(got) == set(units_brute(rows() + more, units))
     texts = {d[0]: d[1] for d in rows() + more if d[0] is not None}
     for doc_id, start, end, first_id, first_start in found(removed, "doc_id", "start", "end", "first_doc_id", "first_start"):
         if doc_id is not None:
             same = texts[first_id][first_start : first_start + end - start].lower().split()
             assert texts[doc_id][start:end].lower().split()[:3] == same[:3]
-    cleaned = substring.drop_repeated_units(docs)
+    cleaned = substring.drop_repeated_units(docs, units)
     assert cleaned.columns == docs.columns and cleaned.count() == docs.count()
-    left = dict(found(cleaned, "doc_id", "text"))
-    assert left[20] == "" and left[700] == texts[700] and len(left[701]) < len(texts[701]) - 150 and left[23] is None
+    gone = defaultdict(set)
+    for _, doc_id, start, end in got:
+        gone[doc_id].update(range(start, end))
+    for doc_id, text in found(cleaned, "doc_id", "text"):
+        if doc_id is not None:  # the union of the spans, and nothing else, is lost
+            assert text == (None if texts[doc_id] is None else "".join(c for i, c in enumerate(texts[doc_id]) if i not in gone[doc_id]))
     assert substring.repeated_units(empty_docs(spark)).count() == 0
 
 
