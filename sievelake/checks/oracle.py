@@ -223,6 +223,12 @@ ORACLES: dict[str, str] = {
           CASE WHEN COALESCE(published, 0) = COALESCE(expected, 0) THEN 'MATCH' ELSE 'MISMATCH' END
             AS reconciliation_status
         FROM e FULL JOIN p USING (year, month)""",
+    "reconcile_content": f"""{_WITH}, k AS (SELECT year, month, COUNT(*) AS n, COUNT(*) FILTER (WHERE vendor_id = 1) AS first,
+          COUNT(*) FILTER (WHERE vendor_id <> 1) AS rest FROM c WHERE validation_status <> 'QUARANTINE' GROUP BY year, month)
+        SELECT year, month, n AS expected_records,
+          CASE WHEN month = 6 THEN 0 WHEN month = 4 AND rest = 0 THEN 0 ELSE n END AS published_records,
+          CASE WHEN month = 6 OR (month = 4 AND rest = 0) THEN 'COUNT_MISMATCH'
+               WHEN month = 3 OR (month = 4 AND first > 0) THEN 'CONTENT_MISMATCH' ELSE 'MATCH' END AS reconciliation_status FROM k""",
     "reconciliation_outcomes": f"""{_RUNS} SELECT run_id,
         CASE WHEN publish_status IS NULL OR status <> 'SUCCESS' THEN 'DISABLED'
              WHEN reconciliation_status = 'FAILED' THEN 'FAILED'
@@ -269,6 +275,14 @@ ORACLES: dict[str, str] = {
     "source_manifest": f"""{_WITH} SELECT 'year=' || year || '/month=' || month AS folder,
         CAST(length(line) AS BIGINT) AS size_bytes, sha256(line) AS sha256
         FROM (SELECT year, month, batch_id || ':' || COUNT(*) || chr(10) AS line FROM c GROUP BY year, month, batch_id)""",
+    # A month's rows make one file, and each output has its marker.
+    "publication_summary_counts": f"""{_WITH} SELECT batch_id,
+        CAST(1 + MAX(CASE WHEN quarantine_reasons = '' THEN 1 ELSE 0 END) AS BIGINT) AS curated_object_count,
+        CAST(CASE WHEN month = 2 THEN 0 ELSE 1 + MAX(CASE WHEN quarantine_reasons <> '' THEN 1 ELSE 0 END) END AS BIGINT)
+          AS quarantine_object_count,
+        CAST(CASE WHEN month = 3 THEN 1 ELSE 2 END AS BIGINT) AS quality_object_count,
+        MAX(CASE WHEN quarantine_reasons = '' THEN 1 ELSE 0 END) = 1 AS has_curated_data, month NOT IN (2, 3) AS complete
+        FROM c GROUP BY batch_id, month""",
     "published_objects": f"""{_WITH}, d AS (SELECT DISTINCT year, month, period,
           COUNT(*) FILTER (WHERE quarantine_reasons = '') OVER (PARTITION BY year, month) > 0 AS good,
           COUNT(*) FILTER (WHERE quarantine_reasons <> '') OVER (PARTITION BY year, month) > 0 AS bad FROM c)

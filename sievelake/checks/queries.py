@@ -13,7 +13,7 @@ from sievelake.checks.series import SERIES
 from sievelake.functions import addresses
 from sievelake.operators import classify as rows
 from sievelake.operators import ledger as ledgers
-from sievelake.operators import metrics, publication, reconcile
+from sievelake.operators import content, metrics, publication, reconcile
 from sievelake.operators.schema import normalize
 from sievelake.plans.batch_run import run_batch
 from sievelake.plans.load import classified_batches, load_batches
@@ -368,6 +368,33 @@ def reconcile_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.reconcile(small_frame(spark, expected, "year INT, month INT, expected_records BIGINT"), found)
 
 
+def reconcile_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the source against rows of the table, after March's amounts were changed in place, April's rows of
+    vendor 1 gave way to copies of others, May's were dealt anew over files, and June lost its partition."""
+    lake, batches, table = _registered(spark, sf_dir)
+    month = F.col("month")
+    held = read_curated(spark, lake, DATASET).where(month.isin(3, 4, 5))
+    first = F.col("vendor_id") == 1
+    rest = held.where((month == 4) & ~first)
+    copies = rest.groupBy("year", "month").agg(F.max(F.struct(*[c for c in held.columns if c not in ("year", "month")])).alias("row"))
+    lost = held.where((month == 4) & first).select("year", "month").join(copies, ["year", "month"])
+    changed = (
+        held.where(month == 3).withColumn("total_amount", F.col("total_amount") + 1)
+        .unionByName(rest)
+        .unionByName(lost.select("row.*", "year", "month").select(*held.columns))
+        .unionByName(held.where(month == 5).repartition(3))
+    )
+    aside = scratch(spark)
+    changed.write.partitionBy("year", "month").parquet(aside)
+    for batch in batches:
+        if batch.month in (3, 4, 5):
+            files.replace_directory(spark, f"{aside}/year={batch.year}/month={batch.month}", lake.curated(batch))
+    catalog.drop_as_spelled(spark, table, [(str(b.year), str(b.month)) for b in batches if b.month == 6])
+    spark.catalog.refreshTable(table)
+    wanted = content.content_digests(rows.curated(_classified(spark, sf_dir)))
+    return content.reconcile_content(wanted, content.content_digests(spark.table(table)))
+
+
 def reconciliation_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = _run_history(spark, sf_dir)
     return runs.select(
@@ -430,6 +457,17 @@ def publication_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def publication_summary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects per batch and output, after February's quarantine went and March's metrics lost their marker."""
+    lake, batches = _published(spark, sf_dir)
+    for batch in batches:
+        if batch.month == 2:
+            files.remove(spark, lake.quarantine(batch))
+        elif batch.month == 3:
+            files.remove(spark, f"{lake.metrics(batch)}/_SUCCESS")
+    return publish.publication_summaries(spark, [(batch, lake) for batch in batches])
+
+
 def published_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per published directory: does it hold data, its marker, any object at all?"""
     lake, batches = _published(spark, sf_dir)
@@ -546,10 +584,12 @@ _QUERIES: dict[str, Query] = {
     "published_metrics": published_metrics,
     "partition_counts": partition_counts,
     "reconcile_batches": reconcile_batches,
+    "reconcile_content": reconcile_content,
     "reconciliation_outcomes": reconciliation_outcomes,
     "partition_repair": partition_repair,
     "publication_state": publication_state,
     "published_objects": published_objects,
+    "publication_summary_counts": publication_summary_counts,
     "batch_totals": batch_totals,
     "batch_pass_rates": batch_pass_rates,
     "invariants": invariants,

@@ -159,10 +159,11 @@ def _all_steps(run: _Run, batches: list[Batch]) -> None:
 def _publish(run: _Run, batches: list[Batch]) -> None:
     spark, records = run.spark, run.records
     _publish_manifests(run, batches)
-    summaries = files.for_each(publish.publication_summary, [(spark, run.lakes[b], b) for b in batches])
-    for batch, counts in zip(batches, summaries):
+    counted = publish.publication_summaries(spark, [(b, run.lakes[b]) for b in batches]).collect()
+    summaries = {row["batch_id"]: row for row in counted}
+    for batch in batches:
         for name in ("curated_object_count", "quarantine_object_count", "quality_object_count"):
-            records[batch][f"s3_{name}"] = counts[name]
+            records[batch][f"s3_{name}"] = summaries[batch.batch_id][name]
 
 
 def _started(batch: Batch, site: Site) -> dict[str, Any]:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sievelake.batch import Batch, Lake, under
 from sievelake.operators.publication import publication_state
 from sievelake.sinks import files
+from sievelake.sinks.listing import listed_outputs
 from sievelake.sources.small import small_frame
 
 MANIFEST_DDL = (
@@ -66,6 +67,22 @@ def publication_summary(spark: SparkSession, lake: Lake, batch: Batch) -> dict[s
     }
 
 
+def publication_summaries(spark: SparkSession, places: Iterable[tuple[Batch, Lake]]) -> DataFrame:
+    """Object counts of many batches, one row each, from one listing in tasks."""
+    counted = listed_outputs(spark, places).groupBy("batch_id")
+
+    def of(kind: str, value: str = "objects"):
+        return F.max(F.when(F.col("kind") == kind, F.col(value)))
+
+    return counted.agg(
+        of("curated").alias("curated_object_count"),
+        of("quarantine").alias("quarantine_object_count"),
+        of("metrics").alias("quality_object_count"),
+        (of("curated", "data_files") > 0).alias("has_curated_data"),
+        F.bool_and("complete").alias("complete"),
+    )
+
+
 def published_versions(spark: SparkSession, lake: Lake, batches: Iterable[Batch]) -> dict[Batch, Lake]:
     """The lake of each batch, at the version that its manifest row names; a lake without versions as it is."""
     batches = list(batches)
@@ -85,15 +102,14 @@ def published_batches(
     """Publication state of batches, given with their source checksums; `at` names lakes at versions."""
     asked = list(checksums)
     places = at or {}
-    outputs = [
-        (spark, output)
-        for batch, _ in asked
-        for output in (places.get(batch, lake).curated(batch), lake.quarantine(batch), lake.metrics(batch))
-    ]
-    marks = files.for_each(files.is_complete, outputs)
+    listed = listed_outputs(spark, [(batch, places.get(batch, lake)) for batch, _ in asked]).where("complete")
+    whole = {(row["batch_id"], row["kind"]) for row in listed.select("batch_id", "kind").collect()}
     rows = [
-        (batch.batch_id, batch.dataset, batch.period, batch.source_file, checksum, *marks[3 * i : 3 * i + 3])
-        for i, (batch, checksum) in enumerate(asked)
+        (
+            batch.batch_id, batch.dataset, batch.period, batch.source_file, checksum,
+            *((batch.batch_id, kind) in whole for kind in ("curated", "quarantine", "metrics")),
+        )
+        for batch, checksum in asked
     ]
     manifest = small_frame(spark, [], MANIFEST_DDL)
     for dataset in sorted({batch.dataset for batch, _ in asked}):

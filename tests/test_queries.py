@@ -11,7 +11,7 @@ from sievelake.checks.queries import QUERIES
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 # Files and footers are read by Python functions in tasks.
-READ_IN_TASKS = {("source_manifest", "Pandas"), ("schema_drift", "Pandas")}
+READ_IN_TASKS = {(name, "Pandas") for name in ("source_manifest", "schema_drift", "publication_summary_counts")}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
