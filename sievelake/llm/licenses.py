@@ -108,8 +108,77 @@ SINGLE: tuple[tuple[str, int, str], ...] = (
     ("commercial", 2, f"commercial {L}"),
     ("open-source", 3, f"open source {L}"),
 )
+# Identifiers of the SPDX list, as they stand after "SPDX-License-Identifier:", and their labels here.
+SPDX = {
+    "0BSD": "0bsd", "AFL-3.0": "afl-3.0", "AGPL-3.0-only": "agpl-3.0", "AGPL-3.0-or-later": "agpl-3.0", "AGPL-3.0": "agpl-3.0",
+    "Apache-1.1": "apache-1.1", "Apache-2.0": "apache-2.0", "Artistic-2.0": "artistic-2.0", "BlueOak-1.0.0": "blueoak-1.0.0",
+    "BSD-2-Clause": "bsd-2.clause", "BSD-3-Clause": "bsd-3.clause", "BSD-4-Clause": "bsd-4.clause", "BSL-1.0": "bsl-1.0",
+    "BUSL-1.1": "busl-1.1", "CC0-1.0": "cc0-1.0", "CC-BY-4.0": "cc-by-4.0", "CC-BY-SA-4.0": "cc-by-sa-4.0", "CC-BY-NC-4.0": "cc-by-nc-4.0",
+    "CC-BY-ND-4.0": "cc-by-nd-4.0", "CC-BY-NC-SA-4.0": "cc-by-nc-sa-4.0", "CC-BY-NC-ND-4.0": "cc-by-nc-nd-4.0", "CDDL-1.0": "cddl-1.0",
+    "CECILL-2.1": "cecill-2.1", "ECL-2.0": "ecl-2.0", "EPL-1.0": "epl-1.0", "EPL-2.0": "epl-2.0", "EUPL-1.2": "eupl-1.2",
+    "GFDL-1.3-only": "gfdl-1.3", "GFDL-1.3-or-later": "gfdl-1.3", "GPL-1.0-only": "gpl-1.0", "GPL-1.0-or-later": "gpl-1.0",
+    "GPL-2.0": "gpl-2.0", "GPL-2.0+": "gpl-2.0", "GPL-2.0-only": "gpl-2.0", "GPL-2.0-or-later": "gpl-2.0",
+    "GPL-3.0": "gpl-3.0", "GPL-3.0-only": "gpl-3.0", "GPL-3.0-or-later": "gpl-3.0", "ISC": "isc",
+    "LGPL-2.0-only": "lgpl-2.0", "LGPL-2.0-or-later": "lgpl-2.0", "LGPL-2.1": "lgpl-2.1", "LGPL-2.1-only": "lgpl-2.1", "LGPL-2.1-or-later": "lgpl-2.1",
+    "LGPL-3.0-only": "lgpl-3.0", "LGPL-3.0-or-later": "lgpl-3.0", "LPPL-1.3c": "lppl-1.3c", "MIT": "mit", "MIT-0": "mit", "MPL-1.1": "mpl-1.1",
+    "MPL-2.0": "mpl-2.0", "MS-PL": "ms-pl", "MS-RL": "ms-rl", "MulanPSL-2.0": "mulan-2", "NCSA": "ncsa", "ODbL-1.0": "odbl-1.0",
+    "OFL-1.1": "ofl-1.1", "OpenSSL": "openssl", "OSL-3.0": "osl-3.0", "PHP-3.01": "php-3.01", "PostgreSQL": "postgresql",
+    "PSF-2.0": "psf-2.0", "Python-2.0": "psf-2.0", "Ruby": "ruby", "SSPL-1.0": "sspl-1.0", "Unlicense": "unlicense", "UPL-1.0": "upl-1.0",
+    "W3C": "w3c", "WTFPL": "wtfpl", "Zlib": "zlib", "ZPL-2.1": "zpl-2.1",
+}
+# Sentences of licenses and of the notices that refer to them, with their labels. The word in capitals is the keyword.
+NOTICES: tuple[tuple[str, str], ...] = (
+    ("gpl-1", "general public license as published by the free software FOUNDATION either version 1"),
+    ("gpl-2", "general public license as published by the free software FOUNDATION either version 2 of the license"),
+    ("gpl-2", "general public license as published by the free software FOUNDATION version 2"),
+    ("gpl-2", "general public license version 2 as published by the free software FOUNDATION"),
+    ("gpl-3", "gnu general public license as published by the free software FOUNDATION either version 3 of the license"),
+    ("gpl-3", "general public license version 3 as published by the free software FOUNDATION"),
+    ("gpl", "the licenses for most software are designed to take away your FREEDOM to share and change it"),
+    ("gpl-3", "the gnu general public license is a free COPYLEFT license for software and other kinds of works"),
+    ("lgpl-2", "library general public license as published by the free software FOUNDATION either version 2 of the license"),
+    ("lgpl-2.1", "lesser general public license as published by the free software FOUNDATION either version 2 1 of the license"),
+    ("lgpl-3", "lesser general public license as published by the free software FOUNDATION either version 3 of the license"),
+    ("lgpl-3", "this version of the gnu LESSER general public license incorporates the terms and conditions of version 3"),
+    ("agpl-3", "affero general public license as published by the free software FOUNDATION either version 3 of the license"),
+    ("agpl-3", "the gnu AFFERO general public license is a free copyleft license for software and other kinds of works"),
+    ("apache-2.0", "you may not use this file except in COMPLIANCE with the license you may obtain a copy of the license at http|https www apache org licenses license 2 0"),
+    ("apache-2.0", "each contributor hereby grants to you a PERPETUAL worldwide non exclusive no charge royalty free irrevocable copyright license"),
+    ("apache-1.1", "this product includes software developed by the APACHE software foundation"),
+    ("bsd-3.clause", "neither the name of the? copyright? holder|owner nor the names of its contributors may be used to ENDORSE or promote products derived from this software"),
+    ("bsd-4.clause", "all advertising materials mentioning features or use of this software must display the following ACKNOWLEDGEMENT"),
+    ("isc", "permission to use copy modify and or? distribute this software for any purpose with or without fee is HEREBY granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("0bsd", "permission to use copy modify and or distribute this software for any purpose with or without fee is HEREBY granted"),
+    ("zlib", "in no event will the authors be held LIABLE for any damages arising from the use of this software"),
+    ("zlib", "the origin of this software must not be MISREPRESENTED you must not claim that you wrote the original software"),
+    ("bsl-1.0", "permission is HEREBY granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("ncsa", "permission is HEREBY granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal with the software without restriction"),
+    ("unlicense", "this is free and UNENCUMBERED software released into the public domain"),
+    ("wtfpl", "everyone is permitted to copy and distribute VERBATIM or modified copies of this license document"),
+    ("cc0-1.0", "to the extent possible under law has WAIVED all copyright and related or neighboring rights"),
+    ("cc0-1.0", "the person who associated a work with this deed has DEDICATED the work to the public domain"),
+    ("mpl-2.0", "this source code form is subject to the terms of the MOZILLA public license v 2 0"),
+    ("mpl-1.1", "the contents of this file are subject to the MOZILLA public license version 1 1"),
+    ("epl-2.0", "the accompanying program is provided under the terms of this ECLIPSE public license"),
+    ("epl-1.0", "this program and the accompanying materials are made available under the terms of the ECLIPSE public license v1 0"),
+    ("epl-2.0", "made available under the terms of the ECLIPSE public license 2 0"),
+    ("postgresql", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written AGREEMENT is hereby granted"),
+    ("psf", "psf is making PYTHON available to licensee on an as is basis"),
+    ("artistic", "you may make and give away VERBATIM copies of the source form of the standard version"),
+    ("ofl-1.1", "this font software is licensed under the SIL open font license version 1 1"),
+    ("ofl-1.1", "the fonts including any derivative works can be BUNDLED embedded redistributed and or sold"),
+    ("ms-pl", "this license governs use of the ACCOMPANYING software if you use the software you accept this license"),
+    ("upl-1.0", "to any person obtaining a copy of this software associated documentation and or data collectively the software free of charge and under any and all copyright rights in the software and any and all PATENT rights"),
+    ("sspl-1.0", "server side public license as published by MONGODB inc"),
+    ("busl-1.1", "the licensor hereby grants you the right to copy modify create derivative works redistribute and make non PRODUCTION use of the licensed work"),
+    ("eupl", "licensed under the EUPL version|v 1 2"),
+    ("cc-by-4.0", "this work is licensed under a creative COMMONS attribution 4 0 international license"),
+    ("cc-by-sa-4.0", "this work is licensed under a creative COMMONS attribution sharealike 4 0 international license"),
+    ("cc-by-nc-4.0", "this work is licensed under a creative COMMONS attribution noncommercial 4 0 international license"),
+)
 #: Strings of which a text holds one, in any case, if any rule's keyword occurs in it.
-ROOTS = ("licen", "gpl", "cc", "gfdl", "mpl", "epl", "cddl", "lppl", "sspl", "eupl", "odbl", "pddl", "wtfpl", "commons", "domain", "reserved", "hereby", "redistribution")
+ROOTS = ("licen", "gpl", "cc", "gfdl", "mpl", "epl", "cddl", "lppl", "sspl", "eupl", "odbl", "pddl", "wtfpl", "commons", "domain", "reserved", "hereby", "redistribution",
+         "acknowledgement", "endorse", "liable", "misrepresented", "unencumbered", "waived", "bundled", "verbatim", "apache")
 
 
 class Rule(NamedTuple):
@@ -131,7 +200,7 @@ def pattern_of(phrase: str) -> str:
 
 def _keywords(phrase: str) -> list[str]:
     """The words of which one must occur: the word in capitals, or the last one."""
-    words = phrase.split()
+    words = phrase.split()  # of which one may stand in capitals
     marked = next((w for w in words if w.isupper() or w.split("|")[0].isupper() and w.split("|")[0].isalpha()), words[-1])
     return marked.rstrip("?").lower().split("|")
 
@@ -149,6 +218,11 @@ def _rules() -> list[Rule]:
             phrases.append((label, 1, name, name))
     for label, tier, phrase in SINGLE:
         phrases.append((label, tier, phrase, phrase))
+    for name, label in SPDX.items():
+        phrase = "SPDX license identifier " + " ".join(name.lower().replace("-", " ").replace(".", " ").replace("+", " ").split())
+        phrases.append((label, 0, phrase, phrase))
+    for label, phrase in NOTICES:
+        phrases.append((label, 0, phrase, phrase))
     return [
         Rule(no, label, tier, word, pattern_of(phrase))
         for no, (label, tier, name, phrase) in enumerate(phrases)

@@ -116,6 +116,54 @@ def test_a_stronger_detection_hides_what_it_contains(spark):
     assert {(r["labels"], r["score"], r["first_word"], r["n_words"]) for r in none} == {("", 0.0, None, 0)}
 
 
+#: Texts as they stand in files, with labels that must be found and labels that must not.
+LICENSED = [
+    ("// SPDX-License-Identifier: Apache-2.0", "apache-2.0", "mit"),
+    ("# SPDX-License-Identifier: MIT", "mit", "isc"),
+    ("/* SPDX-License-Identifier: GPL-2.0-or-later */", "gpl-2.0", "gpl-3.0"),
+    ("SPDX-License-Identifier: GPL-2.0+", "gpl-2.0", "lgpl-2.0"),
+    ("SPDX-License-Identifier: LGPL-2.1-only", "lgpl-2.1", "gpl-2.0"),
+    ("SPDX-License-Identifier: BSD-3-Clause\n", "bsd-3.clause", "bsd-2.clause"),
+    ("SPDX-License-Identifier: CC0-1.0", "cc0-1.0", "cc-by"),
+    ("SPDX-License-Identifier: MPL-2.0", "mpl-2.0", "mpl-1.1"),
+    (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as\n"
+        "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "gpl-2", "gpl-3",
+    ),
+    ("the GNU General Public License as published by the Free Software Foundation, either version 3 of the License", "gpl-3", "gpl-2"),
+    ("GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License", "lgpl-2.1", "gpl-2"),
+    ("GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License", "agpl-3", "lgpl-3"),
+    ("You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0", "", "apache-2.0"),
+    (
+        "you may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n"
+        "    http://www.apache.org/licenses/LICENSE-2.0\n", "apache-2.0", "apache-1.1",
+    ),
+    (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,\n"
+        "provided that the above copyright notice and this permission notice appear in all copies.", "isc", "0bsd",
+    ),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted.", "0bsd", "isc"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "mit", "ncsa"),
+    ("Redistribution and use in source and binary forms, with or without modification, are permitted", "bsd", "mit"),
+    ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software", "bsd-3.clause", "bsd-4.clause"),
+    ("In no event will the authors be held liable for any damages arising from the use of this software.", "zlib", "libpng"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense", "cc0"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2.0", "mpl-1.1"),
+    ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", "bsl-1.0", "mit"),
+    ("Everyone is permitted to copy and distribute verbatim or modified copies of this license document", "wtfpl", "gpl"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "cc-by-sa-4.0", "cc-by-4.0"),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0", "epl-1.0", "epl-2.0"),
+    ("The identifier of the driver was apt to fail.", "", "apache"),
+]
+
+
+def test_notices_and_identifiers_have_the_labels_they_must_have(spark):
+    docs = spark.createDataFrame([(i, t[0]) for i, t in enumerate(LICENSED)], "doc_id long, text string")
+    got = {r["doc_id"]: set(r["labels"].split(",")) for r in licenses.scan(docs).collect()}
+    for i, (text, label, other) in enumerate(LICENSED):
+        assert label in got[i] and other not in got[i], (text, got[i])
+
+
 # ---- quality rules
 
 
