@@ -5,10 +5,11 @@ shape of its words, and shares of hashed words, standardised and put through a l
 Gated attention, softmax over the bag of w . (tanh(V h) * sigmoid(U h)), weighs the passages; the weighted sum of
 their codes is scored by a logistic unit. All weights are learned together from document labels.
 
-Fitting takes at most `sample` labelled documents of each label (a documented bound, chosen by a hash of doc_id)
-and of each all passages; losses are weighted so that the labels count as
-often as in all rows allowed. The features of that sample come to the driver, which runs the
-gradient steps, adding up gradients over runs of about `PIECE` passages; scoring reads whole texts in tasks, all passages, with the weights as a broadcast of fixed size.
+Fitting takes labelled documents in the order of a hash of doc_id, of each label at most `sample` and as many as have
+`budget` passages together (two documented bounds on rows; one alone above the budget is passed over), and of each all
+passages; losses are weighted so that the labels count as
+often as in all rows allowed. The features of that sample are written by tasks; those within the budget come to the driver, at most 188
+bytes times twice the budget whatever the length of texts, which runs the gradient steps, adding up gradients over runs of about `PIECE` passages; scoring reads whole texts in tasks, all passages, with the weights as a broadcast of fixed size.
 
 Labels are learned from rows whose crc32 of doc_id (as text) modulo 3 is not 1. Scores depend on the text alone.
 
@@ -25,11 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievelake.llm.storage import keep
 from sievelake.llm.text import Words, blocks
 
 PASSAGE = 64
 PIECE = 50_000
 SAMPLE = 2500
+#: Passages of a label that come to the driver at most.
+BUDGET = 200_000
 CODE = 24
 GATE = 12
 STEPS = 250
@@ -161,19 +165,33 @@ def scores(model: dict | float, texts: list[str | None]) -> np.ndarray:
 
 
 def _featured(batches):
-    """For mapInArrow: (label, text) to the passages of the sample, as bytes of float32."""
+    """For mapInArrow: (label, place, text) to the passages of the sample, as bytes of float32, and their count."""
     for batch in batches:
-        texts = batch.column(1).to_pylist()
+        texts = batch.column(2).to_pylist()
         for begin, end, held in blocks(texts):
             x, first = encoded(held)
             rows = [x[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
+            facts = [batch.column(i).slice(begin, end - begin) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(begin, end - begin), pa.array(rows, pa.binary())], names=["label", "passages"]
+                [*facts, pa.array(np.diff(first), pa.int64()), pa.array(rows, pa.binary())], names=["label", "place", "n", "passages"]
             )
 
 
+def within(sizes: list[tuple[int, int, int]], budget: int) -> dict[int, int]:
+    """The last place of each label, of (label, place, passages), up to which documents of at most `budget` passages have that many together."""
+    last: dict[int, int] = {}
+    for label in {s[0] for s in sizes}:
+        total = 0
+        for _, place, n in sorted(s for s in sizes if s[0] == label and s[2] <= budget):
+            total += n
+            if total > budget:
+                break
+            last[label] = place
+    return last
+
+
 def train(
-    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE, budget: int = BUDGET
 ) -> dict[str, np.ndarray] | float:
     """The model, or a constant score where labels of one kind are missing."""
     allowed = (
@@ -186,9 +204,15 @@ def train(
     counts = {r["label"]: r["n"] for r in allowed.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
         return float(next(iter(counts), 1))
-    chosen = [allowed.where(F.col("label") == y).orderBy(F.xxhash64("id"), "id").limit(sample) for y in (0, 1)]
+    place = F.xxhash64("id").alias("place")
+    chosen = [allowed.where(F.col("label") == y).select("id", "label", place).orderBy("place", "id").limit(sample) for y in (0, 1)]
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(chosen[0].unionAll(chosen[1]), "id")
-    rows = texts.select("label", "text").mapInArrow(_featured, "label int, passages binary").collect()
+    featured = keep(texts.select("label", "place", "text").mapInArrow(_featured, "label int, place long, n long, passages binary"))
+    last = within([tuple(r) for r in featured.select("label", "place", "n").collect()], budget)
+    held = F.lit(False)
+    for y, end in last.items():
+        held = held | ((F.col("label") == y) & (F.col("place") <= end))
+    rows = featured.where(held & (F.col("n") <= budget)).select("label", "passages").collect()
     rows.sort(key=lambda r: (r["label"], bytes(r["passages"])))
     if len({r["label"] for r in rows}) < 2:
         return float(next((r["label"] for r in rows), 1))

@@ -1,0 +1,113 @@
+"""Scores of the classifier against plain loops over words, passages and weights; the budget of passages."""
+
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+from llm_rows import prose
+
+from sievelake.llm import classifier
+
+M = (1 << 64) - 1
+
+
+def mixed(x):
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & M
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & M
+    return x ^ (x >> 31)
+
+
+def word_hash(word: bytes) -> int:
+    total = sum(((b + 32 if 65 <= b <= 90 else b) + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, b in enumerate(word))
+    return mixed((total + mixed(len(word))) & M)
+
+
+def kind(b: int) -> int:
+    for number, marks in enumerate((b"|", b"!", b"#*$%&", b".,;:?", b"<>{}[]()/\\=_^~+@"), 4):
+        if b in marks:
+            return number
+    return 0 if 97 <= b <= 122 else 1 if 65 <= b <= 90 else 2 if 48 <= b <= 57 else 3 if b >= 128 else 9
+
+
+def features_plain(words: list[bytes]) -> list[float]:
+    if not words:
+        return [0.0] * classifier.FEATURES
+    size, n = sum(map(len, words)), len(words)
+    shares = [0.0] * 10
+    for w in words:
+        for b in w:
+            shares[kind(b)] += 1 / size
+    hashes = [word_hash(w) for w in words]
+    again = sum(a == b for a, b in zip(hashes, hashes[1:]))
+    shape = [size / n / 10, math.log1p(n) / 5, again / n, len(set(hashes)) / n, sum(len(w) > 12 for w in words) / n]
+    bins = [0.0] * 32
+    for h in hashes:
+        bins[h >> 59] += 1 / n
+    return shares + shape + bins
+
+
+def score_plain(model, text) -> float:
+    words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+    passages = [words[i : i + 64] for i in range(0, len(words), 64)] or [[]]
+    sigmoid = lambda v: 1 / (1 + math.exp(-v))
+    codes, energies = [], []
+    for p in passages:
+        x = [(v - m) / s for v, m, s in zip(features_plain(p), model["mean"], model["scale"])]
+        h = [math.tanh(sum(v * w for v, w in zip(x, column)) + b) for column, b in zip(model["W"].T, model["b"])]
+        gate = [
+            math.tanh(sum(v * w for v, w in zip(h, tv))) * sigmoid(sum(v * w for v, w in zip(h, su)))
+            for tv, su in zip(model["V"].T, model["U"].T)
+        ]
+        codes.append(h)
+        energies.append(math.exp(sum(g * w for g, w in zip(gate, model["w"]))))
+    z = [sum(e / sum(energies) * h[k] for e, h in zip(energies, codes)) for k in range(classifier.CODE)]
+    return sigmoid(sum(v * c for v, c in zip(z, model["c"])) + model["d"][0])
+
+
+def junk(rng, n):
+    return " ".join(rng.choice(["|", "!!", "#*$", "Buy", "NOW", "é|"]) + str(rng.randrange(99)) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    rng = random.Random(12)
+    docs = [(i, junk(rng, rng.randint(1, 300)) if i % 3 == 0 else prose(rng, rng.randint(1, 300))) for i in range(240)]
+    labels = [(i, int(i % 3 != 0)) for i in range(240)]
+    return (
+        spark.createDataFrame(docs + [(900, prose(rng, 4000) + " " + junk(rng, 900)), (901, None), (902, "")], "doc_id long, text string"),
+        spark.createDataFrame(labels + [(900, 0)], "doc_id long, quality int"),
+    )
+
+
+def test_scores_are_those_of_plain_loops(spark, tables):
+    docs, labels = tables
+    model = classifier.train(docs, labels)
+    rng = random.Random(1)
+    texts = [r["text"] for r in docs.where("doc_id % 20 = 0 OR doc_id >= 900").collect()]
+    texts += [None, "", " \n", "one", "É é ß 一二 x́", junk(rng, 64), junk(rng, 65), prose(rng, 20) * 30]
+    assert np.allclose(classifier.scores(model, texts), [score_plain(model, t) for t in texts], atol=1e-5)
+    got = {r["doc_id"]: r["score"] for r in classifier.scored(docs, model).collect()}
+    for row in docs.where("doc_id IN (3, 4, 900, 901)").collect():
+        assert got[row["doc_id"]] == pytest.approx(score_plain(model, row["text"]), abs=1e-5)
+
+
+def test_the_sample_holds_whole_documents_within_the_budget(spark, tables, monkeypatch):
+    assert classifier.within([(0, 5, 3), (0, 1, 4), (0, 9, 4), (1, 2, 50), (1, 3, 9), (0, 2, 11)], 10) == {0: 5, 1: 3}
+    assert classifier.within([(1, 1, 11)], 10) == {} and classifier.within([], 10) == {}
+    docs, labels = tables
+    seen = []
+    original = classifier.fit
+    monkeypatch.setattr(classifier, "fit", lambda x, first, y, weight, *a: seen.append((x, first, y)) or original(x, first, y, weight, *a))
+    classifier.train(docs, labels)
+    whole = {r["doc_id"]: len(classifier.encoded([(r["text"] or "").encode()])[0]) for r in docs.collect()}
+    classifier.train(docs, labels, budget=40)
+    (all_, first, y), (some, begin, kept) = seen
+    assert len(some) <= 80 < len(all_) and set(kept) == {0.0, 1.0}
+    sizes = sorted(np.diff(np.append(begin, len(some))))
+    assert set(sizes) <= set(whole.values()) and max(sizes) < whole[900]  # the long document, above the budget, is passed over
+    # bags of the small sample are bags of the large one: nothing is cut
+    bags = {all_[a:b].tobytes() for a, b in zip(first, np.append(first[1:], len(all_)))}
+    assert {some[a:b].tobytes() for a, b in zip(begin, np.append(begin[1:], len(some)))} <= bags
+    assert isinstance(classifier.train(docs, labels, budget=0), float)
