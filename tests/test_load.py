@@ -8,6 +8,7 @@ from trip_rows import SOURCE, THREE_TRIPS, source_row
 
 from sievelake.batch import Batch, Lake
 from sievelake.plans.load import classified_batches, load_batches, of_batches
+from sievelake.session import SETTINGS, tune
 from sievelake.sinks import files, publish
 from sievelake.sinks.outputs import read_curated, write_batches
 
@@ -171,3 +172,43 @@ def test_nothing_staged_is_left(spark, lake):
     load(spark, lake, rows(1, 2, 1, 1) + rows(2, 1))
     names = [f.rsplit("/", 1)[1] for root in (lake.curated_root("d"), lake.quarantine_root("d"), lake.metrics_root("d")) for f in files.children(spark, root)]
     assert not [n for n in names if n.startswith("_staged")]
+
+
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@pytest.fixture
+def tuned(spark):
+    before = {key: spark.conf.get(key, None) for key in SETTINGS}
+    yield tune(spark)
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def plans_of_writes(spark):
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    found = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [found.apply(i).physicalPlanDescription() for i in range(found.size())]
+    return [plan for plan in plans if "WriteFiles" in plan and "sievelake_row_kind" in plan]
+
+
+@pytest.mark.parametrize("clustered", [False, True])
+def test_a_task_does_not_sort_its_rows_to_write_them(tuned, lake, clustered):
+    """Sorted, a task would hold all its rows in memory, several times their size, and spill."""
+    before = len(plans_of_writes(tuned))
+    load(tuned, lake, rows(1, 3, 1, 2) + rows(2, 0, 0, 4), clustered)
+    written = plans_of_writes(tuned)[before:]
+    assert written and not any("Sort" in plan for plan in written)
+
+
+@pytest.mark.parametrize("writers", ["2", "32"])
+def test_a_task_of_more_batches_than_writers_writes_all(tuned, lake, writers):
+    tuned.conf.set(WRITERS, writers)
+    made = [(*source_row("10:00", "10:20", d, 1.0, 1.0), y, m) for d in (1.0, -1.0, 0.0) for m in range(1, 13) for y in (2023, 2024)]
+    data = tuned.createDataFrame(made * 5, DDL).coalesce(1)
+    counts = write_batches(classified_batches(data, "d", "p"), lake, "d", clustered=True)
+    assert len(counts) == 24 and {(c["valid_records"], c["warning_records"], c["quarantined_records"]) for c in counts} == {(5, 5, 5)}
+    assert Counter(r[:] for r in read_curated(tuned, lake, "d").select("year", "month").collect()) == {
+        (y, m): 10 for m in range(1, 13) for y in (2023, 2024)
+    }
+    assert {tuned.read.parquet(lake.quarantine(Batch("d", "p", y, m))).count() for m in range(1, 13) for y in (2023, 2024)} == {5}
