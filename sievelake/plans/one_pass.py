@@ -36,6 +36,8 @@ from sievelake.sources.manifest_store import stored_checksums
 from sievelake.sources.schemas import file_columns, file_schemas, parse, wider
 from sievelake.sources.small import small_frame
 
+_PERIOD = "sievelake_period"
+
 
 def read_batches(spark: SparkSession, paths: Iterable[str], source_prefix: str) -> DataFrame:
     """Rows of many raw files or folders; `year` and `month` come from the name, as files do not hold them."""
@@ -45,11 +47,13 @@ def read_batches(spark: SparkSession, paths: Iterable[str], source_prefix: str)
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no such input: {error}") from error
         raise
-    name = rf"{source_prefix}_(\d{{4}})-(\d{{2}})\.parquet(?:/|$)"
-    place = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
-    return trips.withColumns(
-        {part: F.regexp_extract(place, name, i).cast("int") for i, part in enumerate(("year", "month"), 1)}
-    )
+    # Evaluated for every row: one search for both parts, and names without escapes are taken as they are.
+    path = F.col("_metadata.file_path")
+    place = F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+    period = F.regexp_extract(place, rf"{source_prefix}_(\d{{4}}-\d{{2}})\.parquet(?:/|$)", 1)
+    named = trips.withColumn(_PERIOD, period)
+    parts = {"year": F.substring(_PERIOD, 1, 4), "month": F.substring(_PERIOD, 6, 2)}
+    return named.withColumns({part: text.cast("int") for part, text in parts.items()}).drop(_PERIOD)
 
 
 class SeriesFailed(RuntimeError):

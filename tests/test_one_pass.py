@@ -121,3 +121,14 @@ def test_empty_sources_missing_sources_and_no_batches(spark, place):
     with pytest.raises(FileNotFoundError, match="2020-03"):
         run_all(spark, batches, site)
     assert run_all(spark, [], site) == []
+
+
+def test_a_file_name_is_searched_once_per_row(spark, tmp_path):
+    """Names with spaces, plus and percent signs give the same months; the search, done for every row, is done once."""
+    odd = "a+b %41 c%"
+    for year, month in ((2020, 1), (2021, 12)):
+        spark.range(2).write.parquet(str(tmp_path / odd / f"p+q_{year}-{month:02d}.parquet"))
+    found = read_batches(spark, [str(tmp_path / odd)], r"p\+q")
+    assert sorted(r[1:] for r in found.collect()) == [(2020, 1)] * 2 + [(2021, 12)] * 2
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") == 1 and "regexp_replace" not in plan
