@@ -165,15 +165,16 @@ def scores(model: dict | float, texts: list[str | None]) -> np.ndarray:
 
 
 def _featured(batches):
-    """For mapInArrow: (label, place, text) to the passages of the sample, as bytes of float32, and their count."""
+    """For mapInArrow: the text, in the last column, to its passages, as bytes of float32, and their count; other columns pass."""
     for batch in batches:
-        texts = batch.column(2).to_pylist()
+        *names, _ = batch.schema.names
+        texts = batch.column(len(names)).to_pylist()
         for begin, end, held in blocks(texts):
             x, first = encoded(held)
             rows = [x[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
-            facts = [batch.column(i).slice(begin, end - begin) for i in (0, 1)]
+            facts = [batch.column(i).slice(begin, end - begin) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(
-                [*facts, pa.array(np.diff(first), pa.int64()), pa.array(rows, pa.binary())], names=["label", "place", "n", "passages"]
+                [*facts, pa.array(rows, pa.binary()), pa.array(np.diff(first), pa.int64())], names=[*names, "passages", "n"]
             )
 
 
@@ -207,7 +208,7 @@ def train(
     place = F.xxhash64("id").alias("place")
     chosen = [allowed.where(F.col("label") == y).select("id", "label", place).orderBy("place", "id").limit(sample) for y in (0, 1)]
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(chosen[0].unionAll(chosen[1]), "id")
-    featured = keep(texts.select("label", "place", "text").mapInArrow(_featured, "label int, place long, n long, passages binary"))
+    featured = keep(texts.select("label", "place", "text").mapInArrow(_featured, "label int, place long, passages binary, n long"))
     last = within([tuple(r) for r in featured.select("label", "place", "n").collect()], budget)
     held = F.lit(False)
     for y, end in last.items():
