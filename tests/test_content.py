@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_load import DDL, rows
 
+from sievelake.checks.queries import _largest_rows
 from sievelake.operators.content import content_digests, reconcile_content
 from sievelake.plans.load import classified_batches
 
@@ -53,3 +54,23 @@ def test_lost_and_unexpected_partitions_show(spark):
 def test_a_hot_partition_sends_one_row_per_task(spark):
     plan = content_digests(table(spark, rows(1, 2)))._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan and plan.count("HashAggregate") == 2
+
+
+def test_largest_row_of_a_batch_is_that_of_whole_rows_compared(spark):
+    made = [(1, 5, None, 2020, 1), (None, 9, "z", 2020, 1), (1, 5, "b", 2020, 1), (1, None, "c", 2020, 1), (1, 5, "b", 2020, 1)]
+    made += [(2, None, "x", 2020, 4), (2, None, None, 2020, 4), (1, 7, "y", 2020, 4), (None, None, None, 2021, 4), (None, None, "a", 2021, 4)]
+    held = spark.createDataFrame(made, "vendor_id INT, at BIGINT, name STRING, year INT, month INT").repartition(3)
+    found = {(r["year"], r["month"]): tuple(r["row"]) for r in _largest_rows(held).collect()}
+    plain = held.groupBy("year", "month").agg(F.max(F.struct("vendor_id", "at", "name")).alias("row")).collect()
+    assert found == {(r["year"], r["month"]): tuple(r["row"]) for r in plain}
+    assert found == {(2020, 1): (1, 5, "b"), (2020, 4): (2, None, "x"), (2021, 4): (None, None, "a")}
+
+
+def test_a_task_does_not_sort_all_its_rows_for_the_largest(spark):
+    """What is sorted by batch comes out of a join with the tops or, for the tops, of maxima by hash."""
+    held = spark.createDataFrame([(1, i, "n", 2020, 1) for i in range(1000)], "vendor_id INT, at BIGINT, name STRING, year INT, month INT")
+    lines = _largest_rows(held)._jdf.queryExecution().executedPlan().toString().splitlines()
+    few, all_rows = ("HashAggregate", "BroadcastHashJoin"), "Scan"
+    sorts = [i for i, line in enumerate(lines) if "Sort [" in line]
+    first_below = [next(x for x in lines[i:] if all_rows in x or any(f in x for f in few)) for i in sorts]
+    assert first_below and not [x for x in first_below if all_rows in x]
